@@ -7,10 +7,25 @@ from pyspark.sql import functions as F
 
 from inkmill.llm import components as comp
 from inkmill.llm import cutoffs as cut
-from inkmill.llm import encoding, mixing, pieces, sampling
+from inkmill.llm import encoding, mixing, neardup, pieces, sampling
 from inkmill.llm.common import label, settings, table
 
 
+def _p1(spark: SparkSession, d: str):
+    s = settings(spark, d)
+    least = int(s["similarity_min_chars"])
+    qa = neardup.bare_texts(table(spark, d, "qa_instructions_robust"), "qa", "qa_id", "assistant", least)
+    return qa.union(neardup.bare_texts(table(spark, d, "segmented_content"), "segment", "segment_id", "content", least)), s["similarity_min"]
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.similar_pairs(*_p1(spark, d))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.similarity_groups(*_p1(spark, d))
+
+
 def _p2(spark: SparkSession, d: str):
     qa = table(spark, d, "qa_instructions_robust")
     return qa, sampling.plan_sample(qa, table(spark, d, "sample_targets"), settings(spark, d)["sample_fraction"])
