@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm import components as comp
 from inkmill.llm import cutoffs as cut
-from inkmill.llm import encoding, mixing, neardup, pieces, sampling
+from inkmill.llm import encoding, mixing, neardup, pieces, sampling, truncation
 from inkmill.llm.common import label, settings, table
 
 
@@ -113,6 +113,15 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(sized, targets, fraction, mixing.mix(sized, targets, fraction))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return truncation.truncation_report(docs, truncation.truncated(docs.select("doc_id", "text")))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
 
