@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm import components as comp
 from inkmill.llm import cutoffs as cut
-from inkmill.llm import encoding, mixing, neardup, pieces, sampling, truncation
+from inkmill.llm import encoding, mixing, neardup, pairs, pieces, sampling, truncation
 from inkmill.llm.common import label, settings, table
 
 
@@ -92,6 +92,11 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "split_targets").join(got, "split_name", "left").crossJoin(F.broadcast(total)).withColumn("share", F.try_divide("records", F.col("_all"))).drop("_all")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    model = pairs.fit_languages(table(spark, d, "documents"))
+    return pairs.defects(table(spark, d, "qa_instructions_robust"), "qa_id", "user", "assistant", model)
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
