@@ -89,3 +89,19 @@ def rank_thresholds(rows: DataFrame, cell: list[str], cuts: DataFrame, key: str
     inside = slim.join(F.broadcast(bounded), cell).where(F.col(key).between(F.col("_lo"), F.col("_hi")))
     found = ranked(inside).select(*cell, "cut", F.col(key).alias("at_key"), F.col(tie).alias("at_tie"))
     return cuts.join(F.broadcast(found), [*cell, "cut"], "left")
+
+
+#: Words of 64 bits in a membership filter: the broadcast has at most so many rows of two LONGs, whatever the keys.
+FILTER_WORDS = 1 << 20
+
+
+def maybe_among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of df whose LONG hash ``key`` may be among ``keys.key``; drops most others before a shuffle of df.
+
+    A one-hash Bloom filter of FILTER_WORDS x 64 bits, the keys folded into words by bit_or; the exact join still has
+    to follow.  With more keys than bits it lets everything through.
+    """
+    word, bit = (lambda c: c.bitwiseAND(FILTER_WORDS - 1)), (lambda c: F.shiftrightunsigned(c, 20).bitwiseAND(63).cast("int"))
+    words = keys.select(word(F.col(key)).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(key))).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    tagged = df.withColumn("_word", word(F.col(key))).join(F.broadcast(words), "_word")
+    return tagged.where(F.call_function("getbit", F.col("_bits"), bit(F.col(key))) == 1).drop("_word", "_bits")

@@ -7,17 +7,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import cut_lineage
+from inkmill.llm.common import cut_lineage, maybe_among
 from inkmill.llm.components import components
 
 #: A signature has BANDS bands of ROWS 16-bit minimum hashes.  A pair of similarity 0.6 shares a band with probability
 #: 1 - (1 - 0.6 ** 4) ** 40 = 0.996, one of 0.65 with 0.9996.
 BANDS, ROWS = 40, 4
 #: Hashes compared in verification, so many at a time.
-STEP, STEPS = 16, 6
+STEP, STEPS = 16, 4
 #: A candidate is dropped once the posterior probability that it reaches the threshold is below this.
 MISS = 1e-4
 #: White space in the sense of Python's str.split.
@@ -184,7 +184,8 @@ def similar_texts(texts: DataFrame, threshold: float, width: int) -> DataFrame:
     compared = pairs.join(head.select(F.col("h").alias("ha"), F.col("head").alias("sa")), "ha").join(head.select(F.col("h").alias("hb"), F.col("head").alias("sb")), "hb")
     alive = cut_lineage(_prune(compared.select("ha", "hb", "sa", "sb"), threshold))
     wanted = alive.select(F.explode(F.array("ha", "hb")).alias("h")).distinct()
-    bodies = texts.select("h", "bare").join(wanted, "h", "left_semi").dropDuplicates(["h"])
+    # an inner join: a semi join would be pushed below the filter
+    bodies = maybe_among(texts.select("h", "bare"), "h", wanted).join(wanted, "h").dropDuplicates(["h"])
     full = alive.join(bodies.select(F.col("h").alias("ha"), F.col("bare").alias("ta")), "ha").join(bodies.select(F.col("h").alias("hb"), F.col("bare").alias("tb")), "hb")
     return cut_lineage(_verify(full.select("ha", "hb", "ta", "tb"), threshold, width))
 
