@@ -83,6 +83,7 @@ TOPIC_DEFINITIONS = (
     r"([\w\s]{4,25})[:：](技术定义|原理|是指|指的是|包括|涵盖)",
     r"([\w\s]{4,25})是[供物仓运输链智能].*?领域.*?的.*?技术",
 )
+TOPIC_DEFINITION_SIGNS = ("技术定义与原理|是一种|技术是指", "[:：](技术定义|原理|是指|指的是|包括|涵盖)", "是[供物仓运输链智能].*领域.*的.*技术")
 TOPIC_NOUNS = ("系统", "平台", "技术", "方案", "解决方案", "服务", "工具", "框架")
 TOPIC_BAD_PARTS = ("》", "《", "「", "」", "..", "…", "。。")
 TOPIC_STOPS = ("技术定义", "当前成熟度", "应用场景", "实施与落地", "未来发展", "领先企业", "安全与责任", "责任归属", "限制", "挑战", "问题", "的因素", "前处于", "案正位于")
