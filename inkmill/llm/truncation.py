@@ -40,20 +40,21 @@ WHOLE = "^(?:" + "|".join(
 ITEM = r"^\s*[•●○■◆▪‣*+-]\s*[^\s，,；;。！？!?]{1,4}$"
 #: A single line up to so many characters without any of these marks is a name or a few words, no prose.
 FRAGMENT, CLAUSE = 40, r"[，,；;。：:！？!?]"
-LAST_LINE = r"[^\r\n\u000B\u000C\u0085\u2028\u2029]*$"
+LINE_BREAKS = r"[\r\n\u000B\u000C\u0085\u2028\u2029]+"
 
 _CANDIDATES = """
-    WITH base AS (
-        SELECT doc_id AS k, text, xxhash64(text) AS h, rtrim(:blanks, text) AS bare FROM {docs} WHERE text IS NOT NULL
-    ), ended AS (
-        SELECT k, h, text, bare, regexp_replace(right(bare, 2000), :scrap, '') AS core FROM base WHERE bare <> ''
-    ), lined AS (
-        SELECT *, trim(regexp_extract(core, :last_line, 0)) AS line, length(core) < least(length(bare), 2000) AS scrap FROM ended
+    WITH ended AS (
+        -- a lateral view keeps what it computes; a subquery's expressions would be copied into every use of them
+        SELECT doc_id AS k, xxhash64(text) AS h, text, bare, core, scrap, line FROM {docs}
+        LATERAL VIEW inline(array(named_struct('bare', CASE WHEN rtrim(:blanks, right(text, 1000)) <> '' THEN rtrim(:blanks, right(text, 1000)) ELSE rtrim(:blanks, text) END))) AS bare
+        LATERAL VIEW inline(array(named_struct('core', regexp_replace(right(bare, 400), :scrap, '')))) AS core
+        LATERAL VIEW inline(array(named_struct('line', trim(element_at(split(core, :line_breaks), -1)), 'scrap', length(core) < least(length(bare), 400)))) AS line, scrap
+        WHERE text IS NOT NULL AND bare <> ''
     ), candidates AS (
-        SELECT k, h, line, NOT line RLIKE :clause AS plain FROM lined
+        SELECT k, h, line, NOT line RLIKE :clause AS plain FROM ended
         WHERE (scrap OR NOT core RLIKE :end)
           AND NOT line RLIKE :whole AND NOT line RLIKE :item
-          AND CASE WHEN bare RLIKE '[\\n\\r]' THEN text RLIKE :sentence ELSE length(bare) > :fragment OR bare RLIKE :clause END
+          AND CASE WHEN text RLIKE '[\\n\\r]\\s*[^\\s]' THEN text RLIKE :sentence ELSE length(bare) > :fragment OR bare RLIKE :clause END
           AND core <> ''
     ), worded AS (
         SELECT *, regexp_extract_all(lower(regexp_replace(right(line, 200), '[0-9]+', '0')), :word, 0) AS w FROM candidates
@@ -119,7 +120,7 @@ def truncated(docs: DataFrame) -> DataFrame:
     Rows repeated in docs come out repeated; extra columns are ignored; an empty table gives no rows.
     """
     sql = docs.sparkSession.sql
-    fixed = {"blanks": BLANKS, "scrap": SCRAP, "last_line": LAST_LINE, "word": WORD, "end": END, "whole": WHOLE, "item": ITEM, "sentence": SENTENCE, "fragment": FRAGMENT, "clause": CLAUSE}
+    fixed = {"blanks": BLANKS, "scrap": SCRAP, "line_breaks": LINE_BREAKS, "word": WORD, "end": END, "whole": WHOLE, "item": ITEM, "sentence": SENTENCE, "fragment": FRAGMENT, "clause": CLAUSE}
     final = cut_lineage(sql(_CANDIDATES, args=fixed, docs=docs))
     scan = {"word": WORD, "mask": BUCKETS - 1}
     buckets = sql(_BUCKETS, args={"mask": BUCKETS - 1}, final=final)
