@@ -11,7 +11,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents that the language model is fitted on, those of smallest hash.
+from inkmill.llm.common import KEY_SPACE, random_key
+
+#: Labelled documents that the language model is fitted on.
 FIT_DOCS = 3000
 #: Buckets of hashed character n-grams, and the share of the uniform distribution that each language's is mixed with, so
 #: that an n-gram unknown to several languages counts alike in all.
@@ -161,10 +163,15 @@ class Languages:
 
 
 def fit_languages(docs: DataFrame, limit: int = FIT_DOCS) -> Languages:
-    """Language model of the labelled documents of smallest hash, at most ``limit``; labels by their first two letters."""
+    """Language model of a seeded sample of about ``limit`` labelled documents; labels by their first two letters.
+
+    The sample is those whose hash lies below limit / count, so that tasks send only sampled texts to the driver.
+    """
     lab = F.substring(F.lower(F.trim("lang")), 1, 2)
-    got = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 20)).select("text", F.when(lab == "jp", "ja").otherwise(lab).alias("lab"), F.xxhash64(F.lit(5), "doc_id").alias("_o"))
-    got = got.orderBy("_o").limit(limit).select("text", "lab").collect()
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 20))
+    n = labelled.count()
+    u = random_key(5, F.col("doc_id")) / float(KEY_SPACE)
+    got = labelled.where(u < limit / max(n, 1)).select("text", F.when(lab == "jp", "ja").otherwise(lab).alias("lab")).limit(2 * limit).collect()
     return Languages.fit([r.text for r in got], [r.lab for r in got])
 
 
