@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkmill.functions import rules
-from inkmill.functions.text import clean_for_generation, contains_any, found, strip
+from inkmill.functions.text import clean_for_generation, strip
 
 AUTONOMOUS, WAREHOUSE, LOGISTICS, CHAIN, DEFAULT = "自动驾驶技术", "仓库管理技术", "物流技术", "供应链技术", "供应链执行技术"
 
 
 def is_valid(t: Column) -> Column:
     """TP9; null is invalid."""
-    stops = reduce(lambda a, b: a | b, (t.startswith(s) | t.endswith(s) for s in rules.TOPIC_STOPS))
-    bad = (F.length(t) < 3) | contains_any(t, rules.TOPIC_BAD_PARTS) | found(t, r"^[\d\s.,;:]+$") | stops | t.isin(*rules.TOPIC_GENERIC) | found(t, r"^的\w{1,3}$")
+    stops, parts = "|".join(rules.TOPIC_STOPS), "|".join(map(re.escape, rules.TOPIC_BAD_PARTS))
+    bad = (F.length(t) < 3) | t.rlike(rf"(?Ud){parts}|^(?:{stops})|(?:{stops})\z|^[\d\s.,;:]+\z|^的\w{{1,3}}\z") | t.isin(*rules.TOPIC_GENERIC)
     return F.coalesce(~bad, F.lit(False))
 
 
