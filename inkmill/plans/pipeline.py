@@ -1,24 +1,38 @@
-"""PL*: the whole pipeline as one lazy plan, and counts of its stages."""
+"""PL*: the whole pipeline, and counts of its stages."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.operators import cleaning, generation, quality, repair, segmenting, selection
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder of the session (a temporary one only if none is set), so that later stages
+    are planned on its columns and not on the expressions behind them."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkmill-"))
+    return df.checkpoint()
+
+
 def run(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", clean: bool = True) -> dict[str, DataFrame]:
-    """PL1: stages cleaned, segments, pairs, fixed, scored, selected, final.  Nothing runs before an action.
+    """PL1: stages cleaned, segments, pairs, fixed, scored, selected, final.
+
+    Segments, pairs and repaired pairs are materialized.
 
     ``clean=False`` skips the cleaning stage (documents go to segmentation as they are).
     """
     slim = docs.select(id_col, text_col).where(F.col(text_col).isNotNull())
     cleaned = cleaning.clean_documents(slim, id_col, text_col) if clean else slim
-    segs = segmenting.segments(cleaned, id_col, text_col)
+    segs = materialized(segmenting.segments(cleaned, id_col, text_col))
     pairs = generation.sample_questions(segs, [id_col, "segment_no"])
+    pairs = materialized(pairs)
     pairs = pairs.where(generation.is_sound(F.col("user"), F.col("assistant")))
-    fixed = repair.fix_pairs(pairs).withColumnsRenamed({"user": "question", "assistant": "answer"})
+    fixed = materialized(repair.fix_pairs(pairs).withColumnsRenamed({"user": "question", "assistant": "answer"}))
     scored = quality.evaluate(quality.with_duplicates(fixed, [id_col, "segment_no", "dim_no", "tmpl_no"]))
     order = [id_col, "segment_no", "dim_no", "tmpl_no"]
     selected = selection.balanced(scored, order)
