@@ -22,7 +22,7 @@ LANG_BUCKETS, UNIFORM = 1 << 17, 0.02
 LANG_MARGIN = 0.25
 #: Letters below which a text's language is not judged.
 LANG_LETTERS = 12
-#: A trigram that ends at least so many lines of a style, in at least this share of its uses there, is an end.
+#: A trigram that ends at least so many lines of a style that another line follows, in at least this share of its uses there, is an end.
 END_LINES, END_SHARE = 3, 0.3
 #: Other characters that may lead in a repeated question with nothing after it.
 LEAD_CHARS = 10
@@ -52,8 +52,13 @@ REFUSAL_EN = regex.compile(
 _QUOTED = regex.compile(r"[“\"「『][^”\"」』]*[”\"」』]")
 _TAG = regex.compile(r"<[^<>]{0,60}>|&[a-zA-Z#0-9]{1,8};")
 _OPEN = regex.compile(r"[，、,：:（(“‘《「『【\[]$")
+#: Words that demand a continuation, at the end of a prose line of an answer of at least OPEN_CHARS.
+_OPEN_WORD = regex.compile(r"(?:(?<!不)[是]|[的和与及或把被将让使]|(?i:\b(?:the|an?|of|and|or|to|with|for|der|die|das|und|oder)))$")
+OPEN_CHARS = 12
 _END = regex.compile(r"(?:[。！？!?．؟।]|(?<![\s\d.])\.|(?<=\d)\.(?<!(?:^|\n)\s*\(?\d{1,3}\.))[”’」』）)\]】》\"'*_`]*$")
 _DOTS = regex.compile(r"(?:[\s\p{Cc}\p{Cf}\p{Z}�]|…|\.{2,}|。{2,}|·{2,})+$")
+#: What may stand between the mark of the last sentence and the end: emoji and complete bracketed references.
+_AFTER_MARK = regex.compile(r"(?:[\s\p{So}\p{Sk}\p{M}\u200D]|[（(\[【][^()（）\[\]【】\n]{1,30}[)）\]】])+$")
 _ITEM = regex.compile(r"\s*(?:[-*•●·‣▪+]|\d{1,3}[.、)）]|[(（]\d{1,3}[)）]|[①-⑳])")
 _BARE_ITEM = regex.compile(r"\s*(?:[-*•●·‣▪+]|\d{1,3}[.、)）]|[(（]\d{1,3}[)）]|[①-⑳])\s*$")
 _LETTER_RUN = regex.compile(r"\P{L}+")
@@ -194,27 +199,34 @@ def tail(answer: str) -> tuple[bool, int, int] | None:
     last = core.rsplit("\n", 1)[-1]
     if _BARE_ITEM.fullmatch(last):
         return True, 1, 0
-    if len(core) >= 3 and len(core) == len(answer.rstrip()) and _END.search(core):
+    if len(core) >= 3 and len(core) == len(answer.rstrip()) and (_END.search(core) or _END.search(_AFTER_MARK.sub("", core))):
         return None
     if len(core) < 3 or _OPEN.search(core):
         return True, 0, 0
     style = int(bool(_ITEM.match(last)))
+    if not style and len(core) >= OPEN_CHARS and _OPEN_WORD.search(core):
+        return True, 0, 0
     return len(core) < len(answer.rstrip()) and bool(_END.search(core)) is False, style, int(_trigrams(_folded(core[-3:]))[0]) + style
 
 
 def end_statistics(df: DataFrame, text_col: str) -> DataFrame:
     """(tri, uses, ends) of the character trigrams of all texts by line style: how often they stand in a line of list or
-    prose style and how often they end one.  Counts are folded in each batch before the shuffle."""
+    prose style and how often they end one that another line follows.  A text's last line is no evidence of an end: it
+    is where cuts fall, and one that recurs would pass for usual.  Counts are folded in each batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines: list[str] = []
+            followed: list[bool] = []
             for t in batch.column(0).to_pylist():
                 if t:
-                    lines += t.split("\n")
-            lines = [x for x in (y.rstrip() for y in lines) if len(x) > 2]
-            if not lines:
+                    own = t.rstrip().split("\n")
+                    lines += own
+                    followed += [True] * (len(own) - 1) + [False]
+            kept = [(x, f) for x, f in zip((y.rstrip() for y in lines), followed) if len(x) > 2]
+            if not kept:
                 continue
+            lines, followed = map(list, zip(*kept))
             style = np.fromiter((_ITEM.match(x) is not None for x in lines), np.int64, len(lines))
             lens = np.fromiter(map(len, lines), np.int64, len(lines))
             tri = _trigrams(_folded("".join(lines))) + np.repeat(style, lens)[2:]
@@ -224,7 +236,7 @@ def end_statistics(df: DataFrame, text_col: str) -> DataFrame:
                 at = ends[:-1] - 1 - back
                 inside[at[at < len(tri)]] = False
             final = np.zeros(len(tri), np.int64)
-            final[ends - 3] = 1
+            final[ends - 3] = followed
             tri, final = tri[inside], final[inside]
             keys, where = np.unique(tri, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
@@ -243,7 +255,8 @@ def defects(df: DataFrame, id_col: str, question: str, answer: str, languages: L
     * language: naive Bayes over character n-grams gives question and answer different languages, by a margin a
       character, so that names and a leading topic don't decide.
     * truncated: the answer has no end mark and its final trigram is hardly ever the end of a line of its style (list or
-      prose) anywhere in the data; dots at the end count as no mark.
+      prose) that goes on with another line, anywhere in the data, or it ends in a word that demands a continuation;
+      dots at the end count as no mark.
 
     A null or blank question only rules out copy and language.  Whole texts are read; rows repeated come out repeated;
     extra columns are ignored; an empty table gives no rows.  The model, at most a few MB, is broadcast.

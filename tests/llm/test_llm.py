@@ -180,6 +180,25 @@ def test_defects(spark):
     assert pairs.defects(df.where("false"), "qa_id", "user", "assistant", model).count() == 0
 
 
+def _no_docs(spark):
+    return pairs.fit_languages(spark.createDataFrame([], "doc_id long, text string, lang string"))
+
+
+def _defects(spark, answers):
+    df = spark.createDataFrame([(i, "什么是月台调度？", a) for i, a in enumerate(answers)], "qa_id long, user string, assistant string")
+    return {r.qa_id: r.defect for r in pairs.defects(df, "qa_id", "user", "assistant", _no_docs(spark)).collect()}
+
+
+def test_recurring_cuts_are_no_usual_ends(spark):
+    # the endings stand nowhere else and close several differing answers, as in the tables
+    cuts = [f"第{i}批托盘由货位{chr(0x4E00 + i)}收走，便于追责。{x}" for i, x in enumerate(["其中最关键的是"] * 5 + ["还要看夜班闸"] * 5)]
+    assert _defects(spark, cuts) == {i: "truncated" for i in range(10)}
+    items = [f"要点如下：\n1. 推送{chr(0x4E00 + i)}，使返工量减半\n2. 引导读写器，使返工量减半" for i in range(4)]
+    marked = ["月台调度让新品更快上架。✅", "月台调度让新品更快上架！（参见表25）", "月台调度让新品更快上架。（参见表2）👍"]
+    assert _defects(spark, items + marked) == {}
+    assert set(_defects(spark, ["月台调度让新品更快上架。（见登车桥", "月台调度让新品更快✅"]).values()) == {"truncated"}
+
+
 # 7
 @pytest.mark.skipif(not VOCAB, reason="needs the public vocabulary")
 def test_encoding_is_that_of_the_library(spark):
