@@ -212,7 +212,8 @@ def tail(answer: str) -> tuple[bool, int, int] | None:
 def end_statistics(df: DataFrame, text_col: str) -> DataFrame:
     """(tri, uses, ends) of the character trigrams of all texts by line style: how often they stand in a line of list or
     prose style and how often they end one that another line follows.  A text's last line is no evidence of an end: it
-    is where cuts fall, and one that recurs would pass for usual.  Counts are folded in each batch before the shuffle."""
+    is where cuts fall, and one that recurs would pass for usual.  Each distinct text counts once; copies fold in their
+    tasks before the shuffle of texts, counts in each batch before that of trigrams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,7 +244,7 @@ def end_statistics(df: DataFrame, text_col: str) -> DataFrame:
                 [pa.array(keys), pa.array(np.bincount(where, minlength=len(keys))), pa.array(np.bincount(where, weights=final, minlength=len(keys)).astype(np.int64))], names=["tri", "uses", "ends"]
             )
 
-    return df.select(text_col).mapInArrow(run, "tri long, uses long, ends long").groupBy("tri").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
+    return df.select(text_col).distinct().mapInArrow(run, "tri long, uses long, ends long").groupBy("tri").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
 
 
 def defects(df: DataFrame, id_col: str, question: str, answer: str, languages: Languages) -> DataFrame:
