@@ -281,8 +281,7 @@ def _stages(spark, d):
 
 
 def stage_counts(spark, d):
-    stages = pipeline.run(_docs(spark, d), clean=False)
-    return pipeline.stage_counts({k: stages[k] for k in ("segments", "pairs", "scored")})
+    return pipeline.stage_counts(_stages(spark, d))
 
 
 def full_pipeline(spark, d):

@@ -61,6 +61,16 @@ def test_pipeline(spark):
     assert empty["final"].count() == 0
 
 
+def test_stage_counts_are_those_of_the_whole_pipeline(spark, tmp_path):
+    line = "1. 国际物流的清关步骤：首先提交单据，其次核对清单，最后放行货物，这些步骤能够缩短通关时间。"
+    rows = [(i, "\n".join([f"第{i}章 跨境物流", *[line] * 12, "联系地址：北京市朝阳区某路 1 号", line])) for i in range(3)]
+    spark.createDataFrame([*rows, (9, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    st = pipeline.run(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    got = {r.stage: r.n for r in catalog.stage_counts(spark, str(tmp_path)).collect()}
+    assert got == {k: df.count() for k, df in st.items()}
+    assert list(got) == ["cleaned", "segments", "pairs", "fixed", "scored", "selected", "final"] and got["cleaned"] == 3
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
 @pytest.mark.parametrize("name", CHECKED)
 def test_against_sql(spark, name):
