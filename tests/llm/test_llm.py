@@ -247,6 +247,18 @@ def test_mixture(spark):
     assert mixing.mix(sized.where("false"), targets, 0.4).count() == 0
 
 
+def test_mixture_draws_on_copies(spark):
+    # all of "hot" are copies of one text, which "rare" has too, but may use only once
+    rows = [(i, "hot", 10, 7) for i in range(2000)] + [(5000 + i, "big", 10, 100 + i) for i in range(3000)] + [(9000, "rare", 10, 7)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, tokens long, h long")
+    targets = spark.createDataFrame([("hot", 0.5, 2), ("big", 0.49, 1), ("rare", 0.01, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix(sized, targets, 0.8)
+    rep = {r.source: r for r in mixing.mix_report(sized, targets, 0.8, mixed).collect()}
+    assert not rep["hot"].short and abs(rep["hot"].mixed_tokens / rep["hot"].wanted - 1) < 0.1 and abs(rep["big"].mixed_tokens / rep["big"].wanted - 1) < 0.1
+    uses = {r.doc_id: r.uses for r in mixed.groupBy("doc_id").agg(F.sum("uses").alias("uses")).collect()}
+    assert max(uses.values()) <= 2 and max(n for i, n in uses.items() if i >= 5000) == 1 and uses.get(9000, 0) <= 1
+
+
 # 9
 def test_truncation(spark):
     r = random.Random(9)
