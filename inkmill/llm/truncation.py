@@ -38,6 +38,8 @@ WHOLE = "^(?:" + "|".join(
 ) + r")\s*$"
 #: A list item of a few characters is a whole name.
 ITEM = r"^\s*[•●○■◆▪‣*+-]\s*[^\s，,；;。！？!?]{1,4}$"
+#: How an item of a list begins; its ends count apart from those of other lines.
+MARKER = r"^\s*(?:[•●○■◆▪‣*+·-]|\d{1,3}[.、)）]|[(（]\d{1,3}[)）]|[①-⑳])"
 #: A single line up to so many characters without any of these marks is a name or a few words, no prose.
 FRAGMENT, CLAUSE = 40, r"[，,；;。：:！？!?]"
 LINE_BREAKS = r"[\r\n\u000B\u000C\u0085\u2028\u2029]+"
@@ -59,7 +61,7 @@ _CANDIDATES = """
     ), worded AS (
         SELECT *, regexp_extract_all(lower(regexp_replace(right(line, 200), '[0-9]+', '0')), :word, 0) AS w FROM candidates
     )
-    SELECT k, h, plain, xxhash64(regexp_replace(line, '[0-9]+', '0')) AS whole,
+    SELECT k, h, plain, line RLIKE :marker AS item, xxhash64(regexp_replace(line, '[0-9]+', '0')) AS whole,
            xxhash64(get(w, size(w) - 3), get(w, size(w) - 2), get(w, size(w) - 1)) AS tri FROM worded
 """
 
@@ -80,23 +82,26 @@ _INSIDE = """
 
 _LINES = """
     WITH lines AS (
-        SELECT xxhash64(text) AS h, explode(split(text, '[\\r\\n]+')) AS line FROM {docs} WHERE text IS NOT NULL
+        -- a text's last line is where cuts fall and no evidence of a whole end
+        SELECT h, explode(slice(lines, 1, size(lines) - 1)) AS line FROM (SELECT xxhash64(text) AS h, split(rtrim(:blanks, text), '[\\r\\n]+') AS lines FROM {docs} WHERE text IS NOT NULL)
+    ), styled AS (
+        SELECT h, line, line RLIKE :marker AS item FROM lines WHERE NOT line RLIKE :clause
     ), worded AS (
-        SELECT h, regexp_extract_all(lower(regexp_replace(right(trim(line), 200), '[0-9]+', '0')), :word, 0) AS w FROM lines WHERE NOT line RLIKE :clause
+        SELECT h, item, regexp_extract_all(lower(regexp_replace(right(trim(line), 200), '[0-9]+', '0')), :word, 0) AS w FROM styled WHERE item OR NOT trim(line) RLIKE :whole
     ), ends AS (
-        SELECT h, xxhash64(get(w, size(w) - 3), get(w, size(w) - 2), get(w, size(w) - 1)) AS tri FROM worded WHERE size(w) > 0
+        SELECT h, item, xxhash64(get(w, size(w) - 3), get(w, size(w) - 2), get(w, size(w) - 1)) AS tri FROM worded WHERE size(w) > 0
     ), buckets AS (
         SELECT bucket FROM {buckets}
     ), once AS (
-        SELECT /*+ BROADCAST(buckets) */ DISTINCT tri, h FROM ends LEFT SEMI JOIN buckets ON tri & :mask = bucket
+        SELECT /*+ BROADCAST(buckets) */ DISTINCT tri, item, h FROM ends LEFT SEMI JOIN buckets ON tri & :mask = bucket
     )
-    SELECT tri, count(*) AS line_ends FROM once GROUP BY tri
+    SELECT tri, item, count(*) AS line_ends FROM once GROUP BY tri, item
 """
 
 _CASES = """
     WITH ends AS (SELECT tri, count(DISTINCT h) AS ends FROM {final} GROUP BY tri),
     whole AS (SELECT whole, count(DISTINCT h) AS alike FROM {final} GROUP BY whole)
-    SELECT k AS doc_id FROM {final} JOIN ends USING (tri) JOIN whole USING (whole) LEFT JOIN {inside} USING (tri) LEFT JOIN {lines} USING (tri)
+    SELECT k AS doc_id FROM {final} JOIN ends USING (tri) JOIN whole USING (whole) LEFT JOIN {inside} USING (tri) LEFT JOIN {lines} USING (tri, item)
     WHERE alike < :usual
       AND NOT (ends >= :usual AND coalesce(uses, 0) >= 2 * ends AND ends >= :prose_share * uses)
       AND NOT (plain AND coalesce(line_ends, 0) >= :usual AND line_ends >= :line_share * greatest(coalesce(uses, 0), 1))
@@ -110,22 +115,22 @@ def truncated(docs: DataFrame) -> DataFrame:
        is no title, signature, date, reference, table row, link or page marker.  Null, blank and one-word texts, other
        fragments, and texts of several lines without any sentence end are none.
     2. The candidates' final word trigrams are counted at the ends of different texts, at the ends of lines without
-       punctuation, and over all texts.  Only trigrams in a bucket of some final trigram are aggregated, so the shuffle
+       punctuation that another line follows, those of list items apart from others and titles left out, and over all texts.  Only trigrams in a bucket of some final trigram are aggregated, so the shuffle
        is that of the ends.
     3. A candidate is a case unless it has a usual end: the same last line ends several different texts (copies count
        once), or its final trigram is, in more than a small share of its uses, a final one; for a line without
-       punctuation, such as a list item, one that ends a line.  Trigrams frequent inside but hardly ever at an end are
+       punctuation, such as a list item, one that ends a line of its style.  Trigrams frequent inside but hardly ever at an end are
        cases, and so are words that the cut left incomplete, which only ever stand at ends.
 
     Rows repeated in docs come out repeated; extra columns are ignored; an empty table gives no rows.
     """
     sql = docs.sparkSession.sql
-    fixed = {"blanks": BLANKS, "scrap": SCRAP, "line_breaks": LINE_BREAKS, "word": WORD, "end": END, "whole": WHOLE, "item": ITEM, "sentence": SENTENCE, "fragment": FRAGMENT, "clause": CLAUSE}
+    fixed = {"blanks": BLANKS, "scrap": SCRAP, "line_breaks": LINE_BREAKS, "word": WORD, "end": END, "whole": WHOLE, "item": ITEM, "sentence": SENTENCE, "fragment": FRAGMENT, "clause": CLAUSE, "marker": MARKER}
     final = cut_lineage(sql(_CANDIDATES, args=fixed, docs=docs))
     scan = {"word": WORD, "mask": BUCKETS - 1}
     buckets = sql(_BUCKETS, args={"mask": BUCKETS - 1}, final=final)
     inside = sql(_INSIDE, args=scan, docs=docs, buckets=buckets)
-    lines = sql(_LINES, args=scan | {"clause": CLAUSE}, docs=docs, buckets=buckets)
+    lines = sql(_LINES, args=scan | {"clause": CLAUSE, "marker": MARKER, "whole": WHOLE, "blanks": BLANKS}, docs=docs, buckets=buckets)
     return sql(_CASES, args={"usual": USUAL_ENDS, "prose_share": PROSE_SHARE, "line_share": LINE_SHARE}, final=final, inside=inside, lines=lines)
 
 

@@ -278,6 +278,14 @@ def test_truncation(spark):
     assert rep.truncated == len(cut) + 1
 
 
+def test_list_items_do_not_acquit_prose_lines(spark):
+    body = lambda i: "".join(f"在夜间低谷期，{chr(0x4E00 + i)}会合并静态质检批次{k}批，让新品更快上架。" for k in range(10, 16))
+    lists = [f"{body(i)}\n- 静态质检批次\n附表{i} 静态质检批次\n{body(i + 20)}" for i in range(6)]
+    docs = [*lists, body(50) + "\n汀州湾校验了静态质检批次", body(51) + "\n- 托盘与静态质检批次"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert [x.doc_id for x in truncation.truncated(df).collect()] == [6]
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
