@@ -23,7 +23,7 @@ LANG_MARGIN = 0.25
 #: Letters below which a text's language is not judged.
 LANG_LETTERS = 12
 #: A trigram that ends at least so many lines of a style that another line follows, in at least this share of its uses there, is an end.
-END_LINES, END_SHARE = 3, 0.3
+END_LINES, END_SHARE = 1, 0.3
 #: Other characters that may lead in a repeated question with nothing after it.
 LEAD_CHARS = 10
 #: Longer texts are no refusals.

@@ -199,6 +199,12 @@ def test_recurring_cuts_are_no_usual_ends(spark):
     assert set(_defects(spark, ["月台调度让新品更快上架。（见登车桥", "月台调度让新品更快✅"]).values()) == {"truncated"}
 
 
+def test_list_ends_seen_once_are_whole(spark):
+    # the verdict doesn't depend on the size of the table
+    answers = ["要点如下：\n1. 推送舱单，使返工量减半\n2. 引导读写器，避免整车返程", "要点如下：\n1. 引导托盘，避免整车返程\n2. 改写库位，使返工量减半"]
+    assert _defects(spark, answers) == {}
+
+
 def test_copies_count_once_as_evidence(spark):
     # the line of a list breaks off after 夜班闸 and goes on elsewhere; only copies of one text have that ending before another line
     copies = ["要点如下：\n1. 推送夜班闸\n2. 引导读写器，"] * 5 + ["要点如下：\n1. 推送夜班闸口的舱单，使返工量减半。", "要点如下：\n1. 改写夜班闸口的库位，使返工量减半。", "要点如下：\n1. 引导夜班闸口的托盘，使返工量减半。"]
