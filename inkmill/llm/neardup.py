@@ -116,6 +116,7 @@ def _signed(texts: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             # copies within a batch are signed once: a hot text leaves one row a batch, before any shuffle
             distinct = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            kinds = dict(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
             part: dict[int, str] = {}
             size = 0
             for last, (h, t) in enumerate(distinct.items(), 1):
@@ -124,10 +125,10 @@ def _signed(texts: DataFrame, width: int) -> DataFrame:
                 if size >= CHUNK or last == len(distinct):
                     bands = signatures(list(part.values()), width).view(np.int64).ravel()
                     offsets = np.arange(0, len(bands) + 1, BANDS, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands))], names=["h", "bands"])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)), pa.array([kinds[x] for x in part], pa.string())], names=["h", "bands", "kind"])
                     part, size = {}, 0
 
-    return texts.select("h", "bare").mapInArrow(run, "h long, bands array<long>")
+    return texts.select("h", "bare", "kind").mapInArrow(run, "h long, bands array<long>, kind string")
 
 
 def _prune(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -170,14 +171,14 @@ def similar_texts(texts: DataFrame, threshold: float, width: int) -> DataFrame:
     """(ha, hb), ha < hb: the pairs of different texts whose shingle sets have Jaccard similarity >= threshold.
 
     1. Each text gets a signature of BANDS x ROWS hashes, written once to the checkpoint folder.
-    2. Texts that share a band are candidates: an equi-join on the band's hash.  Spark splits a skewed bucket over tasks
+    2. Texts of one kind that share a band are candidates: an equi-join on the band's hash.  Spark splits a skewed bucket over tasks
        and no bucket is gathered in one row.
     3. Signatures are compared STEP hashes at a time and pairs pruned whose posterior probability to reach the
        threshold is below MISS.
     4. Survivors are verified on the whole texts.
     """
     signed = cut_lineage(_signed(texts, width))
-    bands = signed.select("h", F.posexplode("bands").alias("band", "part")).select("h", F.xxhash64("band", "part").alias("key"))
+    bands = signed.select("h", "kind", F.posexplode("bands").alias("band", "part")).select("h", F.xxhash64("kind", "band", "part").alias("key"))
     a, b = bands.select(F.col("h").alias("ha"), "key"), bands.select(F.col("h").alias("hb"), "key")
     pairs = cut_lineage(a.join(b.hint("merge"), "key").where("ha < hb").select("ha", "hb").distinct())
     head = signed.select("h", F.slice("bands", 1, STEP * STEPS // ROWS).alias("head")).dropDuplicates(["h"])

@@ -41,6 +41,14 @@ def test_near_duplicates_match_brute_force(spark):
     assert groups[5000] == groups[5001] == groups[0] == 0 and 5004 not in groups
 
 
+def test_near_duplicates_keep_kinds_apart(spark):
+    a, b = _texts(2)
+    qa = neardup.bare_texts(spark.createDataFrame([(1, a), (2, b)], "id long, t string"), "qa", "id", "t", 120)
+    segments = neardup.bare_texts(spark.createDataFrame([(11, a), (12, b + "改"), (13, b)], "id long, t string"), "segment", "id", "t", 120)
+    assert [tuple(r) for r in neardup.similar_pairs(qa.union(segments), 0.6).collect()] == [("segment", 12, 13)]
+    assert {(r.kind, r.id) for r in neardup.similarity_groups(qa.union(segments), 0.6).collect()} == {("segment", 12), ("segment", 13)}
+
+
 def test_near_duplicates_of_nothing(spark):
     texts = neardup.bare_texts(spark.createDataFrame([], "id long, t string"), "x", "id", "t", 120)
     assert neardup.similar_pairs(texts, 0.6).count() == 0
