@@ -16,11 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's spark.checkpoint.dir; only where neither it nor a directory is set, a temporary one (tests)."""
+    """Use the session's spark.checkpoint.dir; where neither it nor a directory is set, a temporary one in local mode (tests), an error on a cluster."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkmill-ckpt-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="inkmill-ckpt-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

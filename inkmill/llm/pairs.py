@@ -11,284 +11,310 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import KEY_SPACE, random_key
-
-#: Labelled documents that the language model is fitted on.
-FIT_DOCS = 3000
-#: Buckets of hashed character n-grams, and the share of the uniform distribution that each language's is mixed with, so
-#: that an n-gram unknown to several languages counts alike in all.
-LANG_BUCKETS, UNIFORM = 1 << 17, 0.02
-#: Nats a character n-gram by which another language must be likelier.
-LANG_MARGIN = 0.25
-#: Letters below which a text's language is not judged.
-LANG_LETTERS = 12
-#: A trigram that ends at least so many lines of a style that another line follows, in at least this share of its uses there, is an end.
-END_LINES, END_SHARE = 1, 0.3
-#: Other characters that may lead in a repeated question with nothing after it.
-LEAD_CHARS = 10
-#: Longer texts are no refusals.
-REFUSAL_CHARS = 160
+from inkmill.llm.common import cut_lineage
+from inkmill.llm.languages import Languages, fit_languages  # noqa: F401
+
+#: Weight of the shorter n-gram in the smoothed probability that a text ends after an n-gram.
+BACKOFF = 2.0
+#: Smoothed probability that a line ends after the final n-gram, from which on it is taken for whole without a mark; an
+#: answer of one clause often goes without a mark: there it takes evidence to flag it, a probability below this share of that after any character.
+END_SHARE, CLAUSE_RATIO = 0.3, 0.25
+#: Bits of the filter that keeps n-grams no answer ends in out of the counts: a broadcast of 0.5 MB, whatever the data.
+FILTER_BITS = 1 << 22
+FILTER_PRIME = 4_194_301
 
 # Fixed values from here on.
 #: Contents of a placeholder, without marks and in lower case.
-PLACEHOLDERS = frozenset("待补充 待定 待填 待续 待更新 无 暂无 暂无内容 暂无答案 暂无数据 无内容 无答案 没有内容 空 空白 略 同上 tbd tba todo null none nil na nan undefined empty blank placeholder noanswer nocontent notavailable xxx".split())
-#: Labels that may stand before an answer, and words that may stand around a repeated question; without marks.
+PLACEHOLDERS = frozenset("待补充 待定 待填 待填写 待续 待更新 待完善 待录入 未填写 无 暂无 暂无内容 暂无答案 暂无数据 暂无资料 无内容 无答案 没有内容 空 空白 略 同上 tbd tba todo null none nil na nan undefined empty blank placeholder noanswer nocontent notavailable xxx".split())
+#: Labels that may stand before an answer.
 LABELS = ("答案", "回答", "答复", "答", "answer", "response", "a", "antwort", "回复")
-LEAD_IN = (
-    "您想知道的是", "您想了解的是", "您想问的是", "您的问题是", "你想知道的是", "你的问题是", "您问的是", "你问的是", "您是问", "你是问", "问题是", "原问题", "问题如下", "题目", "提问", "问题", "请问", "问", "题",
-    "答案", "回答", "答复", "答", "关于", "youaskedabout", "youasked", "yourquestionwas", "yourquestionis", "thequestionis", "thequestionwas", "question", "answer", "q", "a", "frage", "antwort", "质问",
-)
-REFUSAL_ZH = regex.compile(
-    r"(?:无法|不能|不便|难以|没法|没办法|不予|不方便|不宜|不可|恕不|拒绝)[^，。]{0,10}(?:回答|提供|给出|讨论|答复|评论|协助|透露|作答|判断|告知|解答|帮|猜测)|帮不上忙|答不上来|答不了|无可奉告|一无所知|不(?:太|是很)?清楚|不知道|不了解|超出了?我|不在我的|"
-    r"(?:没有|缺乏|缺少)[^，。]{0,6}(?:资料|信息|数据|依据)|作为[^，。]{0,6}(?:模型|AI|人工智能|助手)|不便讨论|不便猜测"
+#: What may stand around a repeated question, without marks: words that name a question or an answer, say who asks it, and repeat it.
+LEAD_IN = regex.compile(
+    r"(?:您好|你好|好的|请问|请|您|你|我们?|用户|所|想要?|希望|需要|要|问|提问|知道|了解|询问|咨询|的|是|为|以下|下面|上述|这个|该|原|关于|复述|重复|一遍|一下|如下|就是|即|内容|问题|题目|题|答案|回答|答复|回复|答|质问|回|"
+    r"hello|hi|you|your|are|asked|ask|asking|want|to|know|about|whether|the|original|following|question|prompt|query|was|is|answer|response|q|a|sie|fragten|ihre|frage|lautet|war|ist|nach|antwort)*"
 )
-#: A clause of refusal speaks of the answerer or of the question; others only report what something can't do.
-REFUSAL_SUBJECT = regex.compile(r"我|^(?:但|可是|不过|目前|很?抱歉|对不起|不好意思|恐怕|这|此|该|相关|暂时|无法|不能|不便|难以|作为|也|恕|您?好)")
-REFUSAL_EN = regex.compile(
-    r"(?i)\b(?:i(?:'m| am)? (?:sorry|afraid)|i (?:can(?:no|')t|can not|could not|am unable|am not able|do(?: not|n't) (?:know|have)|won't|will not|must decline)|unable to (?:answer|comment|help|provide|assist)|no answer can be given|as an? (?:ai|assistant|language model)|"
-    r"not (?:able|allowed|permitted) to (?:answer|comment|help|provide|discuss)|(?:beyond|outside) (?:my|the scope of my)|declin(?:e|ing) to (?:answer|comment)|cannot (?:answer|provide|help|comment|be answered|discuss)|can't (?:answer|provide|help|comment|discuss)|not in a position to|"
-    r"leider|ich kann (?:dazu|diese|ihnen|nicht)|tut mir leid)"
+_NOUN = r"(?:(?:这|该|此|本|您|你|我|其|上述|相关|所问|个|件|类|种|些|部分|的)*(?:问题|提问|话题|内容|信息|事情|事|题目|题|点|方面|情况|细节|领域)?)"
+_ADVERB = r"(?:[\s、]|但是|但|可是|不过|然而|而|因此|所以|故|目前|暂时|现在|当前|暂|恐怕|确实|实在|真的|其实|也|还|都|就|并|很?抱歉|对不起|不好意思|对此|就此|对于?|关于|至于|针对)*"
+#: Before a predicate of refusal: the answerer, the question, or nobody; statements about other things have other subjects.
+REFUSER = regex.compile(rf"{_ADVERB}{_NOUN}{_ADVERB}(?:我们?|本人|笔者|本?助手|作为[^，。]*)?{_ADVERB}")
+INABILITY = regex.compile(r"(?:无法|不能|不便|难以|没法|没办法|不予|不方便|不宜|不可|恕不|恕难|拒绝|不会)[^，。]{0,10}?(?P<act>回答|作答|答复|回复|解答|评论|讨论|透露|告知|猜测|提供|给出|判断|协助|帮)")
+IGNORANCE = regex.compile(r"帮不上忙|答不上来|答不了|无可奉告|一无所知|并?不(?:太|是很|大)?(?:清楚|知道|了解|知晓)|超出了?我|不在我的")
+LACK = regex.compile(r"(?:没有|缺乏|缺少)(?P<enough>足够|充分)?[^，。]{0,6}(?:资料|信息|数据|依据)")
+SELF = regex.compile(r"我|本人|笔者|助手|作为")
+DECLINES_ELSE = regex.compile(
+    r"(?i)^(?:(?:but|unfortunately|sadly|regrettably|however|sorry|as an? (?:\w+ ){0,3}(?:ai|assistant|model)|[,;]|at the moment|currently)\s*)*(?:i|we)\b(?:'m| am| are)?(?: \w+){0,2}? ?"
+    r"(?:can(?:no|')t|can not|cannot|could not|unable|not able|not allowed|not permitted|not in a position|don't|do not|won't|will not|must decline|have to decline)\b.*?\b(?:answer|comment|help|assist|provide|discuss|information|know|say|tell|share)\b|"
+    r"\bno answer can be given\b|\b(?:this|that|the|your) (?:question|request|topic|matter)\b[^.]{0,30}?\b(?:cannot|can't|can not) be (?:answered|discussed|commented)|\b(?:beyond|outside) (?:my|what i|the scope of my)\b|\bi(?:'m| am) (?:sorry|afraid)\b.*\b(?:can't|cannot|can not|unable|don't|do not)\b|"
+    r"\bich (?:kann|darf|weiß)\b.*\b(?:nicht|keine)\b|\bkann ich\b.*\b(?:nicht|keine)\b.*\b(?:beantworten|helfen|sagen|geben)"
 )
+#: Clauses without content: greetings, apologies, thanks, the topic, the rules or the role that the answerer goes by.
+COURTESY = regex.compile(
+    r"(?i)\s*(?:(?:您|你)?好|hello|hi|dear user|(?:非常|很|十分|实在)?抱歉|对不起|不好意思|(?:感谢|谢谢)[^，。]*|恕我直言|说实话|坦率地说|老实说|unfortunately|sorry|i(?:'m| am) (?:sorry|afraid)|thank you.*|thanks.*|leider|tut mir leid|entschuldigung|(?:关于|对于|至于|针对|就|依照|按照|根据|作为|鉴于)[^，。]*|(?:regarding|about|concerning|as for|as an?) .*)?\s*"
+)
+_CONTRAST = regex.compile(r"(?i)\s*(?:但|不过|可是|然而|but\b|however\b)")
+#: Letters that clauses of refusal in other languages have, and characters that Chinese ones have.
+_LATIN, _NEGATION = regex.compile(r"[A-Za-z]{2}"), regex.compile(r"[无不没拒恕缺难超答]")
 _QUOTED = regex.compile(r"[“\"「『][^”\"」』]*[”\"」』]")
+_QUOTE = regex.compile("[“\"「『]")
+_SENTENCES = regex.compile(r"[。！？!?\n]|\.(?=\s|$)")
+_CLAUSES = regex.compile(r"[，,;；：:]")
 _TAG = regex.compile(r"<[^<>]{0,60}>|&[a-zA-Z#0-9]{1,8};")
-_OPEN = regex.compile(r"[，、,：:（(“‘《「『【\[]$")
-#: Words that demand a continuation, at the end of a prose line of an answer of at least OPEN_CHARS.
-_OPEN_WORD = regex.compile(r"(?:(?<!不)[是]|[的和与及或把被将让使]|(?i:\b(?:the|an?|of|and|or|to|with|for|der|die|das|und|oder)))$")
-OPEN_CHARS = 12
-_END = regex.compile(r"(?:[。！？!?．؟।]|(?<![\s\d.])\.|(?<=\d)\.(?<!(?:^|\n)\s*\(?\d{1,3}\.))[”’」』）)\]】》\"'*_`]*$")
-_DOTS = regex.compile(r"(?:[\s\p{Cc}\p{Cf}\p{Z}�]|…|\.{2,}|。{2,}|·{2,})+$")
+_RUN = regex.compile(r"[\p{L}\p{N}]+")
+# Patterns with (?r) are matched from the end of a text backwards.
+#: Marks that something must follow.
+_OPEN = regex.compile(r"(?r)[，、,：:（(“‘《「『【\[]")
+_END = regex.compile(r"(?r)(?:[。！？!?．؟।]|(?<![\s\d.])\.|(?<=\d)\.(?<!(?:^|\n)\s*\(?\d{1,3}\.))[”’」』）)\]】》\"'*_`]*")
+_DOTS = regex.compile(r"(?r)(?:[\s\p{Cc}\p{Cf}\p{Z}\uFFFD]|…|\.{2,}|。{2,}|·{2,})+")
 #: What may stand between the mark of the last sentence and the end: emoji and complete bracketed references.
-_AFTER_MARK = regex.compile(r"(?:[\s\p{So}\p{Sk}\p{M}\u200D]|[（(\[【][^()（）\[\]【】\n]{1,30}[)）\]】])+$")
+_AFTER_MARK = regex.compile(r"(?r)(?:[\s\p{So}\p{Sk}\p{M}\u200D]|[（(\[【][^()（）\[\]【】\n]{1,30}[)）\]】])+")
 _ITEM = regex.compile(r"\s*(?:[-*•●·‣▪+]|\d{1,3}[.、)）]|[(（]\d{1,3}[)）]|[①-⑳])")
 _BARE_ITEM = regex.compile(r"\s*(?:[-*•●·‣▪+]|\d{1,3}[.、)）]|[(（]\d{1,3}[)）]|[①-⑳])\s*$")
-_LETTER_RUN = regex.compile(r"\P{L}+")
-#: Blocks of scripts that stand for a language of their own where no labelled document has them.
-SCRIPTS = {"ko": ((0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7AF)), "ru": ((0x400, 0x52F),), "el": ((0x370, 0x3FF),), "ar": ((0x600, 0x6FF),), "he": ((0x590, 0x5FF),), "th": ((0xE00, 0xE7F),), "hi": ((0x900, 0x97F),)}
+#: Marks that end a clause.
+CLAUSE_MARKS = "。！？!?．，,；;：:、"
+_CLAUSE = regex.compile(f"[{CLAUSE_MARKS}\n]")
+
+
+def _folded_form(text: str) -> str:
+    return unicodedata.normalize("NFKC", text).lower()
 
 
 def bare(text: str | None) -> str:
     """Letters and digits only, compatibility forms folded, lower case."""
-    return "".join(ch for ch in unicodedata.normalize("NFKC", text or "").lower() if ch.isalnum())
+    return "".join(_RUN.findall(_folded_form(text or "")))
 
 
 def is_empty(answer: str | None) -> bool:
     """Null, blank, marks or markup only, or only a placeholder."""
-    b = bare(_TAG.sub("", answer)) if answer else ""
-    if b in PLACEHOLDERS or not b:
+    if not answer:
         return True
-    for x in LABELS:
-        if b.startswith(x) and (b[len(x) :] in PLACEHOLDERS or b == x):
-            return True
-    return False
+    most = max(map(len, PLACEHOLDERS)) + max(map(len, LABELS))
+    b = ""
+    for run in _RUN.finditer(_TAG.sub("", answer)):
+        b += run.group()
+        if len(b) > 2 * most:  # longer than any placeholder
+            return False
+    b = bare(b)
+    return not b or b in PLACEHOLDERS or any(b.startswith(x) and (b[len(x) :] in PLACEHOLDERS or b == x) for x in LABELS)
 
 
 def is_copy(question: str | None, answer: str) -> bool:
-    """Nothing but the question again, once or more, give or take marks and lead-in words."""
-    q, a = bare(question), bare(answer)
-    if len(q) < 4 or q not in a:
+    """Nothing but the question again, once or more, give or take marks, labels and lead-in words."""
+    runs = _RUN.findall(_folded_form(question)) if question else None
+    if not runs:
         return False
-    before, *rest = a.split(q)
-    for x in LEAD_IN:
-        before, rest = before.replace(x, ""), [y.replace(x, "") for y in rest]
-    return not any(rest) and len(before) <= LEAD_CHARS
+    said = _folded_form(answer)
+    if max(runs, key=len) not in said:
+        return False
+    q, a = "".join(runs), "".join(_RUN.findall(said))
+    return q in a and all(LEAD_IN.fullmatch(x) for x in a.split(q))
 
 
-def is_refusal(answer: str) -> bool:
-    """A short answer with a clause that declines, outside quotation marks."""
-    if len(answer) > REFUSAL_CHARS:
+def _declines(clause: str, question: str) -> bool:
+    if _LATIN.search(clause) and DECLINES_ELSE.search(clause.strip()):
+        return True
+    if not _NEGATION.search(clause):
         return False
-    said = _QUOTED.sub("", answer) if not (answer[0] in "“\"「『" and answer.rstrip()[-1] in "”\"」』") else answer
-    if REFUSAL_EN.search(said):
+    for pattern in (INABILITY, IGNORANCE, LACK):
+        m = pattern.search(clause)
+        if not m or not REFUSER.fullmatch(clause[: m.start()]):
+            continue
+        own = bool(SELF.search(clause[: m.end()]))
+        if pattern is LACK and not (own or m.group("enough")):
+            continue
+        # "it can't provide this" answers a question whether it can
+        if pattern is INABILITY and not own and not clause[: m.start()].strip() and m.group("act") in question:
+            continue
         return True
-    return any(REFUSAL_ZH.search(x) and REFUSAL_SUBJECT.search(x.strip()) for x in regex.split(r"[，。！？,;；!?\n：:]", said))
-
-
-class Languages:
-    """Naive Bayes over hashed character unigrams and bigrams of letters."""
-
-    def __init__(self, names: list[str], logs: np.ndarray):
-        self.names = names + [s for s in SCRIPTS if s not in names]
-        self.logs = logs
-        self.trained = len(names)
-
-    @staticmethod
-    def codes(text: str) -> np.ndarray:
-        """Code points of the letters in lower case, runs of other characters as one 0."""
-        return np.frombuffer(_LETTER_RUN.sub("\0", text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
-
-    @staticmethod
-    def features(code: np.ndarray) -> np.ndarray:
-        one = code * np.uint32(0x9E3779B1)
-        two = (code[:-1] * np.uint32(0x85EBCA77) + code[1:]) * np.uint32(0xC2B2AE3D)
-        f = np.concatenate([one[code != 0], two])
-        return (f ^ (f >> np.uint32(15))) & np.uint32(LANG_BUCKETS - 1)
-
-    @classmethod
-    def fit(cls, texts: list[str], labels: list[str]) -> Languages:
-        names = sorted(set(labels))
-        feats = [cls.features(cls.codes(t)) for t in texts]
-        keep = list(range(len(texts)))
-        model = cls([], np.zeros((0, LANG_BUCKETS), np.float32))
-        for _ in range(2):  # the second time without documents whose label the first model contradicts
-            counts = np.zeros((len(names), LANG_BUCKETS), np.float64)
-            for i in keep:
-                counts[names.index(labels[i])] += np.bincount(feats[i], minlength=LANG_BUCKETS)
-            seen = counts.sum(1) > 0
-            logs = np.log((1 - UNIFORM) * counts / np.maximum(counts.sum(1, keepdims=True), 1) + UNIFORM / LANG_BUCKETS)
-            logs[~seen] = -1e3
-            model = cls(names, logs.astype(np.float32))
-            keep = [i for i in keep if len(feats[i]) and names[int(model.logs[:, feats[i]].sum(1).argmax())] == labels[i]]
-        return model
-
-    def scores(self, text: str) -> tuple[np.ndarray, int, int]:
-        """Log-likelihood by language, number of n-grams, number of letters."""
-        code = self.codes(text)
-        letters = int((code != 0).sum())
-        f = self.features(code)
-        if not letters:
-            return np.zeros(len(self.names)), 0, 0
-        out = [*self.logs[:, f].sum(1).tolist()]
-        ends = np.concatenate([code[code != 0], code[1:]])
-        for name in self.names[self.trained :]:
-            inside = np.zeros(len(ends), bool)
-            for lo, hi in SCRIPTS[name]:
-                inside |= (ends >= lo) & (ends <= hi)
-            k = int(inside.sum())
-            out.append(k * -8.0 + (len(ends) - k) * -16.0)
-        return np.array(out), len(ends), letters
-
-    def differ(self, question: str, answer: str) -> bool:
-        """Whether the answer is in another language than the question, by their posteriors."""
-        q, m, ql = self.scores(question)
-        a, n, al = self.scores(answer)
-        if ql < 4 or al < LANG_LETTERS or not self.names:
-            return False
-        lq, la = int(q.argmax()), int(a.argmax())
-        return lq != la and a[la] - a[lq] > LANG_MARGIN * n and q[lq] - q[la] > LANG_MARGIN * m
+    return False
 
 
-def fit_languages(docs: DataFrame, limit: int = FIT_DOCS) -> Languages:
-    """Language model of a seeded sample of about ``limit`` labelled documents; labels by their first two letters.
+def is_refusal(question: str | None, answer: str) -> bool:
+    """The first sentence that is more than courtesies declines to answer, and what follows in contrast to it, if anything, declines too.
 
-    The sample is those whose hash lies below limit / count, so that tasks send only sampled texts to the driver.
+    Only clauses count whose subject is the answerer, the question or nobody; what stands in quotation marks doesn't.
     """
-    lab = F.substring(F.lower(F.trim("lang")), 1, 2)
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 20))
-    n = labelled.count()
-    u = random_key(5, F.col("doc_id")) / float(KEY_SPACE)
-    got = labelled.where(u < limit / max(n, 1)).select("text", F.when(lab == "jp", "ja").otherwise(lab).alias("lab")).limit(2 * limit).collect()
-    return Languages.fit([r.text for r in got], [r.lab for r in got])
+    whole = answer.strip()
+    said = whole if not _QUOTE.search(whole) or (whole[0] in "“\"「『" and whole[-1] in "”\"」』") else _QUOTED.sub("", whole)
+    at = 0
+    declined = False
+    while at < len(said):
+        stop = _SENTENCES.search(said, at)
+        sentence, at = said[at : stop.start() if stop else len(said)], stop.end() if stop else len(said)
+        clauses = [c for c in _CLAUSES.split(sentence) if c.strip()]
+        if not clauses:
+            continue
+        verdicts = [_declines(c, question or "") for c in clauses]
+        if declined:  # the sentence after
+            return not (_CONTRAST.match(sentence) and not any(verdicts))
+        if not (any(verdicts) or _declines(sentence, question or "")):
+            if all(COURTESY.fullmatch(c) for c in clauses):
+                continue
+            return False
+        declined = True
+        last = max((i for i, v in enumerate(verdicts) if v), default=len(clauses))
+        if any(_CONTRAST.match(c) for c in clauses[last + 1 :]):
+            return False
+    return declined
 
 
 def _folded(text: str) -> np.ndarray:
     """Code points with digits as 0 and capitals as A."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     c[(c >= 48) & (c <= 57)] = 48
     c[(c >= 65) & (c <= 90)] = 65
     return c
 
 
-def _trigrams(c: np.ndarray) -> np.ndarray:
-    p = c.astype(np.int64)
-    return ((p[:-2] * 1_000_003 + p[1:-1]) * 1_000_003 + p[2:]) << 1
+def _keys(c: np.ndarray, order: int) -> np.ndarray:
+    """The n-gram that ends at each place from order - 1 on, as one number; its line style is still to be added."""
+    k = np.zeros(len(c) - order + 1, np.int64) + order
+    for j in range(order):
+        k = k * 1_000_003 + c[j : len(c) - order + 1 + j]
+    return k << 2
+
 
+def _bits(keys: np.ndarray) -> np.ndarray:
+    return keys % FILTER_PRIME
 
-def tail(answer: str) -> tuple[bool, int, int] | None:
-    """(surely cut, style 0 prose or 1 list, final trigram) of an answer without an end mark; None if it has one."""
-    core = _DOTS.sub("", answer)
-    last = core.rsplit("\n", 1)[-1]
+
+def tail(answer: str) -> tuple[bool, list[int]] | None:
+    """(surely cut, final n-grams from none to three characters, with the line style) of an answer without an end mark; None if it has one."""
+    dots = _DOTS.match(answer)
+    core = answer[: dots.start()] if dots else answer
+    scrap = dots is not None and bool(dots.group().strip())
+    last = core[core.rfind("\n") + 1 :]
     if _BARE_ITEM.fullmatch(last):
-        return True, 1, 0
-    if len(core) >= 3 and len(core) == len(answer.rstrip()) and (_END.search(core) or _END.search(_AFTER_MARK.sub("", core))):
+        return True, []
+    end = bool(_END.match(core)) or ((rest := _AFTER_MARK.match(core)) is not None and bool(_END.match(core[: rest.start()])))
+    if not core or (end and not scrap):
         return None
-    if len(core) < 3 or _OPEN.search(core):
-        return True, 0, 0
-    style = int(bool(_ITEM.match(last)))
-    if not style and len(core) >= OPEN_CHARS and _OPEN_WORD.search(core):
-        return True, 0, 0
-    return len(core) < len(answer.rstrip()) and bool(_END.search(core)) is False, style, int(_trigrams(_folded(core[-3:]))[0]) + style
+    if _OPEN.match(core) or (scrap and not end):
+        return True, []
+    style = 1 if _ITEM.match(last) else 0 if _CLAUSE.search(core) else 2
+    c = _folded(last[-3:])
+    return False, [style] + [int(_keys(c[len(c) - n :], n)[0]) + style for n in range(1, len(c) + 1)]
+
 
+def end_statistics(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+    """(key, uses, ends) of the n-grams of up to three characters of all texts by line style: how often they stand in a line
+    of prose (0) or list (1) style, or in any (2), and how often the line ends after them, with another line after it, or, for
+    2, a clause or such a line.
 
-def end_statistics(df: DataFrame, text_col: str) -> DataFrame:
-    """(tri, uses, ends) of the character trigrams of all texts by line style: how often they stand in a line of list or
-    prose style and how often they end one that another line follows.  A text's last line is no evidence of an end: it
-    is where cuts fall, and one that recurs would pass for usual.  Each distinct text counts once; copies fold in their
-    tasks before the shuffle of texts, counts in each batch before that of trigrams."""
+    What stands at the very end of a text is no evidence: it is where cuts fall, and one that recurs would pass for usual.
+    Each distinct text counts once; copies fold in their tasks before the shuffle of texts.  Only n-grams that may be
+    among ``wanted.key`` are counted (a filter of FILTER_BITS bits, complete whatever its load).
+    """
+    spark = df.sparkSession
+    hashed = F.pmod("key", F.lit(FILTER_PRIME))
+    words = (
+        wanted.select(hashed.alias("_b")).select(F.shiftright("_b", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_b").bitwiseAND(63).cast("int")).alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()  # at most FILTER_BITS / 64 rows
+    )
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words:
+        table[r.word] = r.bits
+    shared = spark.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.zeros(0x110000, bool)
+        marks[[ord(x) for x in CLAUSE_MARKS]] = True
         for batch in batches:
-            lines: list[str] = []
-            followed: list[bool] = []
-            for t in batch.column(0).to_pylist():
-                if t:
-                    own = t.rstrip().split("\n")
-                    lines += own
-                    followed += [True] * (len(own) - 1) + [False]
-            kept = [(x, f) for x, f in zip((y.rstrip() for y in lines), followed) if len(x) > 2]
-            if not kept:
+            texts = [t.rstrip() for t in batch.column(0).to_pylist() if t]
+            lines = [x.rstrip() for t in texts for x in t.split("\n")]
+            if not lines:
                 continue
-            lines, followed = map(list, zip(*kept))
+            counts = np.fromiter((t.count("\n") + 1 for t in texts), np.int64, len(texts))
+            followed = np.ones(len(lines), bool)
+            followed[np.cumsum(counts) - 1] = False
             style = np.fromiter((_ITEM.match(x) is not None for x in lines), np.int64, len(lines))
-            lens = np.fromiter(map(len, lines), np.int64, len(lines))
-            tri = _trigrams(_folded("".join(lines))) + np.repeat(style, lens)[2:]
-            ends = np.cumsum(lens)
-            inside = np.ones(len(tri), bool)
-            for back in (0, 1):  # trigrams across two lines
-                at = ends[:-1] - 1 - back
-                inside[at[at < len(tri)]] = False
-            final = np.zeros(len(tri), np.int64)
-            final[ends - 3] = followed
-            tri, final = tri[inside], final[inside]
-            keys, where = np.unique(tri, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.bincount(where, minlength=len(keys))), pa.array(np.bincount(where, weights=final, minlength=len(keys)).astype(np.int64))], names=["tri", "uses", "ends"]
-            )
-
-    return df.select(text_col).distinct().mapInArrow(run, "tri long, uses long, ends long").groupBy("tri").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
+            lens = np.fromiter(map(len, lines), np.int64, len(lines)) + 1
+            c = _folded("\n".join(lines) + "\n")
+            stop = np.cumsum(lens) - 1  # places of the line breaks
+            real = c != 10
+            real[stop] = False
+            line_end, at_last = np.zeros(len(c), bool), np.zeros(len(c), bool)
+            inner = lens > 1
+            line_end[stop[inner & followed] - 1] = True
+            at_last[stop[inner & ~followed] - 1] = True
+            after = np.concatenate([marks[c[1:]], [False]])
+            use = real & ~at_last
+            own = np.repeat(style, lens)
+            place = np.arange(len(c)) - np.repeat(stop - lens + 1, lens)  # within the line
+            found, uses, ends = [], [], []
+            for s in (0, 1, 2):
+                mine = use if s == 2 else use & (own == s)
+                event = line_end | after if s == 2 else line_end
+                found.append(np.array([s])), uses.append(np.array([mine.sum()])), ends.append(np.array([(mine & event).sum()]))
+                for order in (1, 2, 3):
+                    at = np.flatnonzero(mine[order - 1 :] & (place[order - 1 :] >= order - 1))
+                    if not len(at):
+                        continue
+                    k = _keys(c, order)[at] + s
+                    kept = shared.value[_bits(k)]
+                    keys, where = np.unique(k[kept], return_inverse=True)
+                    found.append(keys), uses.append(np.bincount(where, minlength=len(keys))), ends.append(np.bincount(where, weights=event[order - 1 :][at][kept], minlength=len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (found, uses, ends)], names=["key", "uses", "ends"])
+
+    return df.select(text_col).distinct().mapInArrow(run, "key long, uses long, ends long").groupBy("key").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
+
+
+def cut_ends(ends: DataFrame, statistics: DataFrame) -> DataFrame:
+    """(tri) of those final n-grams ``ends`` (tri, keys) after which a text of their line style does not end.
+
+    P(end | n-gram) is interpolated with that of the shorter n-gram, down to the share of ends among all characters.
+    """
+    parts = ends.select("tri", F.posexplode("keys").alias("order", "key")).join(statistics, "key", "left")
+    at = lambda c, i: F.coalesce(F.max(F.when(F.col("order") == i, F.col(c))), F.lit(0))
+    wide = parts.groupBy("tri").agg(F.min(F.when(F.col("order") == 0, F.col("key"))).alias("style"), *[at(c, i).alias(f"{c}{i}") for c in ("uses", "ends") for i in range(4)])
+    base = (F.col("ends0") + 0.01) / (F.col("uses0") + 1.0)
+    p = base
+    for i in (1, 2, 3):
+        p = (F.col(f"ends{i}") + BACKOFF * p) / (F.col(f"uses{i}") + BACKOFF)
+    least = F.when(F.col("style") == 2, CLAUSE_RATIO * base).otherwise(F.lit(END_SHARE))
+    return wide.where(p < least).select("tri")
 
 
 def defects(df: DataFrame, id_col: str, question: str, answer: str, languages: Languages) -> DataFrame:
     """(id, defect) of each defective pair: empty, copy, refusal, language or truncated, the first that holds.
 
     * empty: null, blank, marks or markup only, a placeholder, a label without content.
-    * copy: the question again, however often, with marks and lead-in words around it.
-    * refusal: a short answer with a clause of refusal outside quotation marks.
-    * language: naive Bayes over character n-grams gives question and answer different languages, by a margin a
-      character, so that names and a leading topic don't decide.
-    * truncated: the answer has no end mark and its final trigram is hardly ever the end of a line of its style (list or
-      prose) that goes on with another line, anywhere in the data, or it ends in a word that demands a continuation;
-      dots at the end count as no mark.
-
-    A null or blank question only rules out copy and language.  Whole texts are read; rows repeated come out repeated;
-    extra columns are ignored; an empty table gives no rows.  The model, at most a few MB, is broadcast.
+    * copy: the question again, however often, with marks, labels and lead-in words around it.
+    * refusal: the answer opens by declining, in a clause about the answerer or the question, outside quotation marks.
+    * language: naive Bayes over character n-grams gives question and answer different languages, by odds in all and by a
+      margin a character, so that names and a leading topic don't decide.
+    * truncated: the answer has no end mark, and a line of its style (list or prose) is not likely to end after its final
+      n-gram, or, if it is a single clause, that n-gram hardly ever ends one; or it ends in dots or in a mark that
+      something must follow.
+
+    A null or blank question only rules out copy and language.  Whole texts of any length are read; rows repeated come
+    out repeated; extra columns are ignored; an empty table gives no rows.  The model, at most a few MB, is broadcast.
     """
-    shared = df.sparkSession.sparkContext.broadcast((languages.names[: languages.trained], languages.logs))
+    shared = df.sparkSession.sparkContext.broadcast((languages.names, languages.logs, languages.known, languages.tables))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None
         for batch in batches:
             model = model or Languages(*shared.value)
-            at, found, tris = [], [], []
-            for i, (q, a) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                defect, tri = None, None
-                if is_empty(a):
-                    defect = "empty"
-                elif is_copy(q, a):
-                    defect = "copy"
-                elif is_refusal(a):
-                    defect = "refusal"
-                elif q and model.differ(q, a):
-                    defect = "language"
-                elif end := tail(a):
-                    defect, tri = ("truncated", None) if end[0] else (None, end[2])
-                if defect or tri is not None:
+            questions, answers = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            found: list[str | None] = ["empty" if is_empty(a) else "copy" if is_copy(q, a) else "refusal" if is_refusal(q, a) else None for q, a in zip(questions, answers)]
+            open_rows = [i for i, d in enumerate(found) if d is None and questions[i]]
+            for i, other in zip(open_rows, model.differ([questions[i] for i in open_rows], [answers[i] for i in open_rows])):
+                if other:
+                    found[i] = "language"
+            at, keys = [], []
+            for i, a in enumerate(answers):
+                end = tail(a) if found[i] is None else None
+                if end and end[0]:
+                    found[i], end = "truncated", None
+                if found[i] or end:
                     at.append(i)
-                    found.append(defect)
-                    tris.append(tri)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string()), pa.array(tris, pa.int64())], names=[id_col, "defect", "tri"])
-
-    flagged = df.select(id_col, question, answer).mapInArrow(run, f"`{id_col}` {kind}, defect string, tri long")
-    judged = flagged.join(end_statistics(df, answer), "tri", "left")
-    usual = (F.coalesce("ends", F.lit(0)) >= END_LINES) & (F.col("ends") >= END_SHARE * F.col("uses"))
-    return judged.where(F.col("defect").isNotNull() | ~usual).select(id_col, F.coalesce("defect", F.lit("truncated")).alias("defect"))
+                    keys.append(end[1] if end else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array([found[i] for i in at], pa.string()), pa.array(keys, pa.list_(pa.int64()))], names=[id_col, "defect", "keys"])
+
+    flagged = cut_lineage(df.select(id_col, question, answer).mapInArrow(run, f"`{id_col}` {kind}, defect string, keys array<long>"))
+    decided = flagged.where("defect is not null").select(id_col, "defect")
+    pending = flagged.where("defect is null").withColumn("tri", F.element_at("keys", -1))
+    ends = cut_lineage(pending.select("tri", "keys").dropDuplicates(["tri"]))
+    cut = cut_ends(ends, end_statistics(df, answer, ends.select(F.explode("keys").alias("key"))))
+    return decided.unionByName(pending.join(cut, "tri").select(id_col, F.lit("truncated").alias("defect")))

@@ -213,6 +213,33 @@ def test_list_ends_seen_once_are_whole(spark):
     assert _defects(spark, answers) == {}
 
 
+def test_short_answers_and_statements_about_things_are_whole(spark):
+    zh = "仓库里的月台调度需要和承运合同一并设计，让新品更快上架。"
+    answers = ["是。", "对。", "5%", "可以", "不需要", "RFID", "AI。", "该模块不能判断包装破损。", "这类标签不了解温度变化，需另配传感器。", "由于缺少历史数据，该模型目前无法给出预测。", "扫描枪无法读取月台时，由班组长人工登记。", zh + "我无法回答这个问题的情形很少。", "我不清楚具体数字，但月台调度一般分三步完成。", "可以，夜班需要人工复核。"]
+    assert _defects(spark, answers) == {}
+    long = "您好，感谢您一直以来的信任与支持，" + "我们非常重视每一个问题，" * 20 + "但是这个问题超出了我的知识范围。"
+    refusals = ["不清楚。", "As an assistant I am unable to comment on this topic.", "很抱歉。此类信息不在我的职责之内。", "关于月台，目前该话题不便讨论，以免造成误导。", long, "I'm sorry, but I can't help with that request.", "Das tut mir leid, ich kann diese Frage leider nicht beantworten."]
+    assert _defects(spark, refusals) == dict.fromkeys(range(len(refusals)), "refusal")
+
+
+def test_copies_of_short_questions_and_refusing_verbs():
+    assert pairs.is_copy("AI？", "AI。") and pairs.is_copy("什么？", "答：什么？") and pairs.is_copy("Why?", "You asked: Why?") and pairs.is_copy("什么是月台？", "您提问的内容如下：什么是月台？")
+    assert not pairs.is_copy("？", "？") and not pairs.is_copy(None, "月台") and not pairs.is_copy("AI？", "AI是人工智能。")
+    assert not pairs.is_refusal("系统能提供离线模式吗？", "不能提供。") and pairs.is_refusal("什么是月台？", "无法回答。")
+
+
+def test_languages_without_documents_and_short_texts():
+    from inkmill.llm.languages import Languages
+
+    zh, en = "仓库里的月台调度需要和承运合同一并设计，让新品更快上架。" * 5, "The dock team moves the pallets to the buffer lane before the trucks arrive at the gate. " * 5
+    m = Languages.fit([zh, en] * 10, ["zh", "en"] * 10)
+    questions = ["什么是月台调度？", "什么是月台调度？", "什么是月台调度？", "What is the dock team?", "What is the dock team?", "什么是月台调度？", "", "什么是月台调度？", "월차는 무엇입니까?"]
+    answers = ["야간조는 운반차 다섯 대를 대조하고 회수 용기를 나눕니다.", "WMS、TMS。", "Dock Scheduling System", "需要月台。", "The gate.", "", "The gate team moves.", "При нехватке места", "仓库里的月台调度"]
+    assert m.differ(questions, answers).tolist() == [True, False, False, True, False, False, False, True, True]
+    assert m.differ(questions * 400, [answers[0] * 50] * 400 * len(questions)).tolist()[:9] == [True, True, True, True, True, True, False, True, False]
+    assert Languages.fit([], []).differ(["什么"], ["what"]).tolist() == [False]
+
+
 def test_copies_count_once_as_evidence(spark):
     # the line of a list breaks off after 夜班闸 and goes on elsewhere; only copies of one text have that ending before another line
     copies = ["要点如下：\n1. 推送夜班闸\n2. 引导读写器，"] * 5 + ["要点如下：\n1. 推送夜班闸口的舱单，使返工量减半。", "要点如下：\n1. 改写夜班闸口的库位，使返工量减半。", "要点如下：\n1. 引导夜班闸口的托盘，使返工量减半。"]
