@@ -98,13 +98,37 @@ def rank_thresholds(rows: DataFrame, cell: list[str], cuts: DataFrame, key: str
 FILTER_WORDS = 1 << 20
 
 
+def _word(c: Column) -> Column:
+    return c.bitwiseAND(FILTER_WORDS - 1)
+
+
+def _bit(c: Column) -> Column:
+    return F.shiftrightunsigned(c, 20).bitwiseAND(63).cast("int")
+
+
+def filter_words(keys: DataFrame, key: str) -> DataFrame:
+    """(_word, _bits) of a one-hash Bloom filter of FILTER_WORDS x 64 bits over the LONG hashes ``key``, the keys folded into words by bit_or."""
+    return keys.select(_word(F.col(key)).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col(key))).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+
+
 def maybe_among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """Rows of df whose LONG hash ``key`` may be among ``keys.key``; drops most others before a shuffle of df.
 
-    A one-hash Bloom filter of FILTER_WORDS x 64 bits, the keys folded into words by bit_or; the exact join still has
-    to follow.  With more keys than bits it lets everything through.
+    The exact join still has to follow.  With more keys than bits it lets everything through.
+    """
+    tagged = df.withColumn("_word", _word(F.col(key))).join(F.broadcast(filter_words(keys, key)), "_word")
+    return tagged.where(F.call_function("getbit", F.col("_bits"), _bit(F.col(key))) == 1).drop("_word", "_bits")
+
+
+def distinct_texts(df: DataFrame, text_col: str) -> DataFrame:
+    """(text_col) each different text once (equal 128 bits of hash are one text), null texts left out.
+
+    Only texts whose hash may occur twice are shuffled: hashes are counted first, those of copies go into a filter of
+    bounded size, and what it rules out passes straight through.  A hot text folds in its tasks before the shuffle.
     """
-    word, bit = (lambda c: c.bitwiseAND(FILTER_WORDS - 1)), (lambda c: F.shiftrightunsigned(c, 20).bitwiseAND(63).cast("int"))
-    words = keys.select(word(F.col(key)).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(key))).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    tagged = df.withColumn("_word", word(F.col(key))).join(F.broadcast(words), "_word")
-    return tagged.where(F.call_function("getbit", F.col("_bits"), bit(F.col(key))) == 1).drop("_word", "_bits")
+    texts = df.where(F.col(text_col).isNotNull()).select(text_col, F.xxhash64(text_col).alias("_h"))
+    twice = texts.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    tagged = texts.withColumn("_word", _word(F.col("_h"))).join(F.broadcast(filter_words(twice, "_h")), "_word", "left")
+    tagged = tagged.withColumn("_maybe", F.coalesce(F.call_function("getbit", F.col("_bits"), _bit(F.col("_h"))) == 1, F.lit(False)))
+    copies = tagged.where("_maybe").withColumn("_h2", F.xxhash64(F.lit(1), text_col)).groupBy("_h", "_h2").agg(F.first(text_col).alias(text_col))
+    return tagged.where("not _maybe").select(text_col).union(copies.select(text_col))

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import cut_lineage
+from inkmill.llm.common import cut_lineage, distinct_texts
 from inkmill.llm.languages import Languages, fit_languages  # noqa: F401
 
 #: Weight of the shorter n-gram in the smoothed probability that a text ends after an n-gram.
@@ -201,7 +201,7 @@ def end_statistics(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame
     2, a clause or such a line.
 
     What stands at the very end of a text is no evidence: it is where cuts fall, and one that recurs would pass for usual.
-    Each distinct text counts once; copies fold in their tasks before the shuffle of texts.  Only n-grams that may be
+    Each distinct text counts once.  Only n-grams that may be
     among ``wanted.key`` are counted (a filter of FILTER_BITS bits, complete whatever its load).
     """
     spark = df.sparkSession
@@ -255,7 +255,7 @@ def end_statistics(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame
                     found.append(keys), uses.append(np.bincount(where, minlength=len(keys))), ends.append(np.bincount(where, weights=event[order - 1 :][at][kept], minlength=len(keys)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (found, uses, ends)], names=["key", "uses", "ends"])
 
-    return df.select(text_col).distinct().mapInArrow(run, "key long, uses long, ends long").groupBy("key").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
+    return distinct_texts(df, text_col).mapInArrow(run, "key long, uses long, ends long").groupBy("key").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends"))
 
 
 def cut_ends(ends: DataFrame, statistics: DataFrame) -> DataFrame:
