@@ -43,7 +43,7 @@ def label(c: Column, lower: bool = False) -> Column:
 
 def settings(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     """run_settings, a table of a few rows that does not grow."""
-    return {r.setting: r.setting_value for r in table(spark, sf_dir, "run_settings").limit(1000).collect()}
+    return {r.setting: r.setting_value for r in table(spark, sf_dir, "run_settings").collect()}
 
 
 def random_key(seed: int, *cols: Column) -> Column:
@@ -94,6 +94,36 @@ def rank_thresholds(rows: DataFrame, cell: list[str], cuts: DataFrame, key: str
     return cuts.join(F.broadcast(found), [*cell, "cut"], "left")
 
 
+#: Parts of the key space that are totalled to find in which one a running total lies.
+CUT_BINS_LOG2 = 14
+
+
+def weighted_cuts(rows: DataFrame, cell: list[str], cuts: DataFrame, weight: str, key: str = "_key", tie: str = "_tie") -> DataFrame:
+    """(cut, at_key, at_tie, reached) where the running total of ``weight`` in the order of (key, tie) comes nearest to ``cuts.at``.
+
+    ``cuts`` has the cell columns, ``cut`` (a unique number) and ``at`` (a total); its size must be bounded by the
+    caller, it is broadcast.  Rows up to (at_key, at_tie) weigh ``reached``, the nearest total that whole rows give.
+
+    Exact without sorting a cell: the key space is cut into 2 ** CUT_BINS_LOG2 bins, whose totals are summed up (a window over bins,
+    not rows); only the bin in which a cut lies, that share of the cell for uniform keys, is ordered.
+    """
+    from pyspark.sql import Window
+
+    binned = rows.select(*cell, F.col(weight).alias("_weight"), F.col(key).alias("_k"), F.col(tie).alias("_t"), F.shiftrightunsigned(key, 62 - CUT_BINS_LOG2).alias("_bin"))
+    wanted = F.broadcast(cuts.select(*cell).distinct())
+    totals = binned.join(wanted, cell, "left_semi").groupBy(*cell, "_bin").agg(F.sum("_weight").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(Window.partitionBy(*cell).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = totals.withColumn("_before", before).join(F.broadcast(cuts), cell).where("_before < at and at <= _before + _sum").select(*cell, "_bin", "_before", "cut", "at")
+    marked = cut_lineage(marked)  # as many rows as cuts
+    inside = binned.join(F.broadcast(marked), [*cell, "_bin"])
+    total = F.col("_before") + F.sum("_weight").over(Window.partitionBy(*cell, "cut").orderBy("_k", "_t"))
+    near = inside.withColumn("_total", total).groupBy("cut").agg(F.min_by(F.struct("_k", "_t", "_total"), F.struct(F.abs(F.col("_total") - F.col("at")), "_k", "_t")).alias("_x"))
+    found = marked.join(F.broadcast(near), "cut")
+    early = F.col("at") - F.col("_before") < F.abs(F.col("_x._total") - F.col("at"))  # nearest with no row of the bin
+    start = F.col("_bin") * F.lit(1 << (62 - CUT_BINS_LOG2)) - 1
+    return found.select("cut", F.when(early, start).otherwise(F.col("_x._k")).alias("at_key"), F.when(~early, F.col("_x._t")).alias("at_tie"), F.when(early, F.col("_before")).otherwise(F.col("_x._total")).alias("reached"))
+
+
 #: Words of 64 bits in a membership filter: the broadcast has at most so many rows of two LONGs, whatever the keys.
 FILTER_WORDS = 1 << 20
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkmill.llm import components, cutoffs, encoding, mixing, neardup, pairs, pieces, sampling, truncation
-from inkmill.llm.common import maybe_among, rank_thresholds
+from inkmill.llm.common import distinct_texts, maybe_among, rank_thresholds, weighted_cuts
 
 VOCAB = os.path.exists(encoding.VOCABULARY)
 
@@ -65,6 +65,11 @@ def test_membership_filter(spark):
     assert out.where("id % 100 = 0").count() == 20 and out.count() < 40
 
 
+def test_distinct_texts(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, ""), (6, ""), (7, "a")], "id int, t string")
+    assert sorted(r.t for r in distinct_texts(df, "t").collect()) == ["", "a", "b"] and distinct_texts(df.where("false"), "t").count() == 0
+
+
 # 2
 def test_allocate():
     assert sampling.allocate([0.5, 0.5], [0, 0], [100, 100], 11) == [6, 5]
@@ -166,6 +171,36 @@ def test_splits(spark):
     assert components.entity_splits(df.where("false"), "id", "e", "lab", links, "a", "b", targets).count() == 0
 
 
+def test_flow_plan():
+    # one component of each bundle is whole; shares within the smallest component
+    r = random.Random(6)
+    bundles = [(float(s), lab, r.randint(1, 40)) for s in (1, 2, 3, 7, 20, 55) for lab in "xyz"] + [(900.0, "x", 1), (700.0, "y", 2)]
+    shares = [0.8, 0.1, 0.1]
+    plan = components.flow_plan(bundles, shares)
+    assert [sum(p) for p in plan] == [c for _, _, c in bundles]
+    total = sum(s * c for s, _, c in bundles)
+    for j, x in enumerate(shares):
+        assert abs(sum(s * p[j] for (s, _, _), p in zip(bundles, plan)) - total * x) <= 3
+        for lab in "xyz":
+            n = sum(s * c for s, y, c in bundles if y == lab)
+            large = max(s for s, y, _ in bundles if y == lab)
+            assert abs(sum(s * p[j] for (s, y, _), p in zip(bundles, plan) if y == lab) - n * x) <= max(3, large)
+    # a component beyond the quotas of all splits but one, no shares, no bundles
+    assert components.flow_plan([(90.0, "x", 1), (1.0, "x", 10)], [0.5, 0.5])[0] in ([1, 0], [0, 1]) and components.flow_plan([(90.0, "x", 1), (1.0, "x", 10)], [0.5, 0.5])[1] in ([0, 10], [10, 0])
+    assert components.flow_plan([(1.0, "x", 3)], [0.0]) == [[0]] and components.flow_plan([], [1.0]) == []
+
+
+def test_splits_of_skewed_components_and_many_labels(spark):
+    # one entity holds a third of the rows, sizes beyond SIZES are classed, and there are more labels than count for themselves
+    rows = [(i, 1, "hot") for i in range(2000)] + [(10_000 + i, 2 + i % 3, f"lab{i % 100}") for i in range(2000)] + [(20_000 + i, 100 + i, f"lab{i % 100}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, e int, lab string")
+    targets = spark.createDataFrame([("train", 0.6), ("validation", 0.25), ("test", 0.15), ("none", None)], "split_name string, target_share double")
+    got = components.entity_splits(df, "id", "e", "lab", spark.createDataFrame([], "a int, b int"), "a", "b", targets).collect()
+    share = {s: sum(x.split_name == s for x in got) / 6000 for s in ("train", "validation", "test")}
+    assert len(got) == 6000 and abs(share["train"] - 0.6) < 0.01 and abs(share["validation"] - 0.25) < 0.01
+    assert len({(x.entity, x.split_name) for x in got}) == len({x.entity for x in got})
+
+
 # 6
 def test_defects(spark):
     zh = "仓库里的月台调度需要和承运合同一并设计，让新品更快上架。"
@@ -284,10 +319,34 @@ def test_mixture(spark):
     rep = {r.source: r for r in mixing.mix_report(sized, targets, 0.4, mixed).collect()}
     assert rep["tiny"].short and rep["none"].short and not rep["big"].short
     assert abs(rep["big"].mixed_tokens / rep["big"].wanted - 1) < 0.1 and rep["tiny"].mixed_tokens == 3 * rep["tiny"].tokens
+    longest = sized.agg(F.max("tokens")).first()[0]
+    assert abs(rep["big"].mixed_tokens - rep["big"].wanted) <= longest
     assert mixed.agg(F.max("uses")).first()[0] == 3 and mixed.groupBy("doc_id").count().where("count > 1").count() == 0
     assert mixing.mix(sized.where("false"), targets, 0.4).count() == 0
 
 
+def test_mixture_meets_quotas_within_a_document(spark):
+    r = random.Random(8)
+    rows = [(i, r.choice("abc"), r.randint(1, 900), i) for i in range(4000)] + [(5000 + i, r.choice("abc"), 300, i % 40) for i in range(600)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, tokens long, h long")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.3, 1), ("c", 0.2, 3)], "source string, target_share double, max_repeats int")
+    rep = mixing.mix_report(sized, targets, 0.9, mixing.mix(sized, targets, 0.9)).collect()
+    assert all(x.short or abs(x.mixed_tokens - x.wanted) <= 900 for x in rep) and not all(x.short for x in rep)
+
+
+def test_weighted_cuts_match_brute_force(spark):
+    rows = spark.range(3000).select((F.col("id") % 2).alias("c"), F.shiftrightunsigned(F.xxhash64("id"), 2).alias("_key"), F.col("id").alias("_tie"), (F.col("id") % 7).alias("w"))
+    cuts = spark.createDataFrame([(0, 0, 10.0), (0, 1, 2222.4), (1, 2, 4000.0)], "c long, cut int, at double")
+    for x in weighted_cuts(rows, ["c"], cuts, "w").collect():
+        cell, at = {0: (0, 10.0), 1: (0, 2222.4), 2: (1, 4000.0)}[x.cut]
+        total, reach = 0, [0]
+        for y in sorted((y._key, y.w) for y in rows.where(F.col("c") == cell).collect()):
+            total += y[1]
+            reach.append(total)
+        assert abs(x.reached - at) == min(abs(t - at) for t in reach)
+        assert rows.where((F.col("c") == cell) & (F.col("_key") <= x.at_key)).agg(F.sum("w")).first()[0] == x.reached
+
+
 def test_mixture_draws_on_copies(spark):
     # all of "hot" are copies of one text, which "rare" has too, but may use only once
     rows = [(i, "hot", 10, 7) for i in range(2000)] + [(5000 + i, "big", 10, 100 + i) for i in range(3000)] + [(9000, "rare", 10, 7)]
