@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,15 +152,36 @@ def maybe_among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return tagged.where(F.call_function("getbit", F.col("_bits"), _bit(F.col(key))) == 1).drop("_word", "_bits")
 
 
-def distinct_texts(df: DataFrame, text_col: str) -> DataFrame:
-    """(text_col) each different text once (equal 128 bits of hash are one text), null texts left out.
+def once(df: DataFrame, key: str, *more: str) -> DataFrame:
+    """df with one row a LONG hash ``key`` (and ``more`` columns, such as further bits of hash), of copies the smallest values.
 
-    Only texts whose hash may occur twice are shuffled: hashes are counted first, those of copies go into a filter of
-    bounded size, and what it rules out passes straight through.  A hot text folds in its tasks before the shuffle.
+    Only rows whose key may occur twice are shuffled: keys are counted first, those of copies go into a filter of bounded
+    size, and what it rules out passes straight through.  A hot key folds in its tasks before the shuffle.
     """
-    texts = df.where(F.col(text_col).isNotNull()).select(text_col, F.xxhash64(text_col).alias("_h"))
-    twice = texts.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    tagged = texts.withColumn("_word", _word(F.col("_h"))).join(F.broadcast(filter_words(twice, "_h")), "_word", "left")
-    tagged = tagged.withColumn("_maybe", F.coalesce(F.call_function("getbit", F.col("_bits"), _bit(F.col("_h"))) == 1, F.lit(False)))
-    copies = tagged.where("_maybe").withColumn("_h2", F.xxhash64(F.lit(1), text_col)).groupBy("_h", "_h2").agg(F.first(text_col).alias(text_col))
-    return tagged.where("not _maybe").select(text_col).union(copies.select(text_col))
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    tagged = df.withColumn("_word", _word(F.col(key))).join(F.broadcast(filter_words(twice, key)), "_word", "left")
+    tagged = tagged.withColumn("_maybe", F.coalesce(F.call_function("getbit", F.col("_bits"), _bit(F.col(key))) == 1, F.lit(False)))
+    copies = tagged.where("_maybe").groupBy(key, *more).agg(*[F.min(c).alias(c) for c in df.columns if c not in (key, *more)])
+    return tagged.where("not _maybe").select(*df.columns).union(copies.select(*df.columns))
+
+
+def distinct_texts(df: DataFrame, text_col: str) -> DataFrame:
+    """(text_col) each different text once (equal 128 bits of hash are one text), null texts left out; copies alone are shuffled."""
+    texts = df.where(F.col(text_col).isNotNull()).select(text_col, F.xxhash64(text_col).alias("_h"), F.xxhash64(F.lit(1), text_col).alias("_h2"))
+    return once(texts, "_h", "_h2").select(text_col)
+
+
+#: Bytes of rows that a task of a large join should read, and the most tasks that it is split into.
+TASK_BYTES, MOST_TASKS = 16 << 20, 50_000
+
+
+@contextmanager
+def enough_partitions(spark: SparkSession, size: int) -> Iterator[None]:
+    """Within it, eager steps shuffle ``size`` bytes into parts of about TASK_BYTES, but never into fewer than the session says."""
+    name = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(own), min(MOST_TASKS, size // TASK_BYTES))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import cut_lineage, maybe_among
+from inkmill.llm.common import cut_lineage, enough_partitions, maybe_among, once
 from inkmill.llm.components import components
 
 #: A signature has BANDS bands of ROWS 16-bit minimum hashes.  A pair of similarity 0.6 shares a band with probability
@@ -146,9 +146,9 @@ def _prune(pairs: DataFrame, threshold: float) -> DataFrame:
                 span = slice(k * STEP, (k + 1) * STEP)
                 matches[live] += (a[live, span] == b[live, span]).sum(1)
                 live = live[matches[live] >= least]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(live)), batch.column(1).take(pa.array(live))], names=["ha", "hb"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(live)), batch.column(1).take(pa.array(live))], names=["ia", "ib"])
 
-    return pairs.mapInArrow(run, "ha long, hb long")
+    return pairs.mapInArrow(run, "ia long, ib long")
 
 
 def _verify(pairs: DataFrame, threshold: float, width: int) -> DataFrame:
@@ -156,39 +156,80 @@ def _verify(pairs: DataFrame, threshold: float, width: int) -> DataFrame:
         for batch in batches:
             cache: dict[str, frozenset[str]] = {}
             keep = []
-            for i, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            for i, (a, b) in enumerate(zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist())):
                 if len(cache) > 2000:
                     cache.clear()
                 if shingle_similarity(a, b, width, cache) >= threshold:
                     keep.append(i)
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["ha", "hb"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("ia", "ib", "ha", "hb")], names=["ia", "ib", "ha", "hb"])
 
-    return pairs.mapInArrow(run, "ha long, hb long")
+    return pairs.mapInArrow(run, "ia long, ib long, ha long, hb long")
+
+
+def _bands(texts: DataFrame, width: int) -> tuple[DataFrame, DataFrame, int]:
+    """Signatures (h, bands, kind, i) of the different texts, written once to the checkpoint folder, their bands (i, key), and the bytes of these.
+
+    ``i`` is a row number and the key has 48 bits: both are mostly small, so that their 40 rows a text shuffle compressed.
+    """
+    signed = once(cut_lineage(_signed(texts, width).withColumn("i", F.monotonically_increasing_id())), "h")
+    bands = signed.select("i", "kind", F.posexplode("bands").alias("band", "part")).select("i", F.shiftrightunsigned(F.xxhash64("kind", "band", "part"), 16).alias("key"))
+    return signed, bands, signed.count() * BANDS * 16
+
+
+def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
+    """(ia, ib, ha, hb) of the pairs (ia, ib) that are similar: pruned by their signatures, then verified on whole texts."""
+    head = signed.select("i", F.slice("bands", 1, STEP * STEPS // ROWS).alias("head"))
+    compared = pairs.join(head.select(F.col("i").alias("ia"), F.col("head").alias("sa")), "ia").join(head.select(F.col("i").alias("ib"), F.col("head").alias("sb")), "ib")
+    alive = cut_lineage(_prune(compared.select("ia", "ib", "sa", "sb"), threshold))
+    wanted = alive.select(F.explode(F.array("ia", "ib")).alias("i")).distinct().join(signed.select("i", "h"), "i")
+    # an inner join: a semi join would be pushed below the filter
+    bodies = maybe_among(texts.select("h", "bare"), "h", wanted.select("h")).join(wanted, "h").dropDuplicates(["h"])
+    full = alive.join(bodies.select(F.col("i").alias("ia"), F.col("h").alias("ha"), F.col("bare").alias("ta")), "ia").join(bodies.select(F.col("i").alias("ib"), F.col("h").alias("hb"), F.col("bare").alias("tb")), "ib")
+    return cut_lineage(_verify(full.select("ia", "ib", "ha", "hb", "ta", "tb"), threshold, width))
 
 
 def similar_texts(texts: DataFrame, threshold: float, width: int) -> DataFrame:
-    """(ha, hb), ha < hb: the pairs of different texts whose shingle sets have Jaccard similarity >= threshold.
+    """(ha, hb): the pairs of different texts, each once, whose shingle sets have Jaccard similarity >= threshold.
 
-    1. Each text gets a signature of BANDS x ROWS hashes, written once to the checkpoint folder.
-    2. Texts of one kind that share a band are candidates: an equi-join on the band's hash.  Spark splits a skewed bucket over tasks
-       and no bucket is gathered in one row.
+    1. Each text gets a signature of BANDS x ROWS hashes; copies fold into one.
+    2. Texts of one kind that share a band are candidates: an equi-join on the band's hash, in parts of bounded size.
+       Spark splits a skewed bucket over tasks and no bucket is gathered in one row.
     3. Signatures are compared STEP hashes at a time and pairs pruned whose posterior probability to reach the
        threshold is below MISS.
     4. Survivors are verified on the whole texts.
     """
-    signed = cut_lineage(_signed(texts, width))
-    bands = signed.select("h", "kind", F.posexplode("bands").alias("band", "part")).select("h", F.xxhash64("kind", "band", "part").alias("key"))
-    a, b = bands.select(F.col("h").alias("ha"), "key"), bands.select(F.col("h").alias("hb"), "key")
-    pairs = cut_lineage(a.join(b.hint("merge"), "key").where("ha < hb").select("ha", "hb").distinct())
-    head = signed.select("h", F.slice("bands", 1, STEP * STEPS // ROWS).alias("head")).dropDuplicates(["h"])
-    compared = pairs.join(head.select(F.col("h").alias("ha"), F.col("head").alias("sa")), "ha").join(head.select(F.col("h").alias("hb"), F.col("head").alias("sb")), "hb")
-    alive = cut_lineage(_prune(compared.select("ha", "hb", "sa", "sb"), threshold))
-    wanted = alive.select(F.explode(F.array("ha", "hb")).alias("h")).distinct()
-    # an inner join: a semi join would be pushed below the filter
-    bodies = maybe_among(texts.select("h", "bare"), "h", wanted).join(wanted, "h").dropDuplicates(["h"])
-    full = alive.join(bodies.select(F.col("h").alias("ha"), F.col("bare").alias("ta")), "ha").join(bodies.select(F.col("h").alias("hb"), F.col("bare").alias("tb")), "hb")
-    return cut_lineage(_verify(full.select("ha", "hb", "ta", "tb"), threshold, width))
+    signed, bands, size = _bands(texts, width)
+    a, b = bands.select(F.col("i").alias("ia"), "key"), bands.select(F.col("i").alias("ib"), "key")
+    with enough_partitions(texts.sparkSession, 2 * size):
+        pairs = cut_lineage(a.join(b.hint("merge"), "key").where("ia < ib").select("ia", "ib").distinct())
+    return _verified(pairs, signed, texts, threshold, width).select("ha", "hb")
+
+
+def similar_classes(texts: DataFrame, threshold: float, width: int) -> DataFrame:
+    """(h, root): the connected components of the links of ``similar_texts``, without making all of them; root is the number of a class.
+
+    A group of n texts takes about n comparisons, not n * n / 2: first each text is compared with one of each of
+    its buckets; what that ties makes classes.  Then only candidates of different classes are left, and of each bucket
+    those of its largest class need no comparison with each other: the rest of the bucket is compared with all others of
+    other classes.  Every candidate pair is compared or lies in one class, so that no link between classes is lost.
+    """
+    spark = texts.sparkSession
+    signed, bands, size = _bands(texts, width)
+    with enough_partitions(spark, 2 * size):
+        first = bands.groupBy("key").agg(F.min("i").alias("ia"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "ia")
+        star = cut_lineage(bands.select(F.col("i").alias("ib"), "key").join(first, "key").where("ia <> ib").select("ia", "ib").distinct())
+    links = _verified(star, signed, texts, threshold, width)
+    roots = components(links, "ia", "ib")
+    with enough_partitions(spark, 2 * size):
+        classed = bands.join(roots.select(F.col("node").alias("i"), "root"), "i", "left").select("key", "i", F.coalesce("root", "i").alias("c"))
+        counted = classed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("n", "c")).alias("most")).where("k > 1")
+        open_buckets = cut_lineage(classed.join(counted.select("key", "most"), "key"))
+        rest = open_buckets.where("c <> most").select("key", F.col("i").alias("x"), F.col("c").alias("cx"))
+        across = open_buckets.select("key", F.col("i").alias("y"), F.col("c").alias("cy")).join(rest, "key").where("cx <> cy")
+        left = cut_lineage(across.select(F.least("x", "y").alias("ia"), F.greatest("x", "y").alias("ib")).distinct())
+    roots = components(links.union(_verified(left, signed, texts, threshold, width)), "ia", "ib")
+    return roots.withColumnRenamed("node", "i").join(signed.select("i", "h"), "i").select("h", "root")
 
 
 def members(texts: DataFrame) -> DataFrame:
@@ -210,14 +251,13 @@ def similar_pairs(texts: DataFrame, threshold: float, width: int = 5) -> DataFra
 
 
 def similarity_groups(texts: DataFrame, threshold: float, width: int = 5) -> DataFrame:
-    """(kind, id, group_id, links) of each record that has a similar or equal one.
+    """(kind, id, group_id) of each record that has a similar or equal one.
 
-    Groups are connected components of the links between different texts; group_id is the smallest id in the group and
-    ``links`` the number of similar other texts.  Copies are members of their text, never expanded into pairs.
+    Groups are connected components of the links between different texts; group_id is the smallest id in the group.
+    Copies are members of their text, never expanded into pairs, and the links within a group are not listed.
     """
-    links, who = similar_texts(texts, threshold, width), members(texts)
-    degree = links.select(F.explode(F.array("ha", "hb")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("links"))
-    roots = components(links, "ha", "hb").withColumnRenamed("node", "h")
-    tagged = who.join(roots, "h", "left").join(degree, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    first = tagged.groupBy("kind", "root").agg(F.min("id").alias("group_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return tagged.join(first, ["kind", "root"]).select("kind", "id", "group_id", F.coalesce("links", F.lit(0)).alias("links"))
+    roots, who = similar_classes(texts, threshold, width), members(texts)
+    # copies of a text that is similar to no other are a group of their own, by the text's hash
+    tagged = who.join(roots, "h", "left").select("kind", "id", F.coalesce(F.concat(F.lit("c"), "root"), F.concat(F.lit("h"), "h")).alias("class"))
+    first = tagged.groupBy("kind", "class").agg(F.min("id").alias("group_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return tagged.join(first, ["kind", "class"]).select("kind", "id", "group_id")

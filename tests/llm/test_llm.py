@@ -39,6 +39,11 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == want and (0, 5001) in got
     groups = {r.id: r.group_id for r in neardup.similarity_groups(texts, 0.6).collect()}
     assert groups[5000] == groups[5001] == groups[0] == 0 and 5004 not in groups
+    root = {i: i for i in ids}
+    for _ in ids:
+        for x, y in want:
+            root[x] = root[y] = min(root[x], root[y])
+    assert groups == {i: root[i] for i in ids if any(i in p for p in want)}
 
 
 def test_near_duplicates_keep_kinds_apart(spark):
