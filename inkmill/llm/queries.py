@@ -156,7 +156,26 @@ def oracle_sql() -> dict[str, str]:
                      count(*) OVER (PARTITION BY dimension ORDER BY total_score DESC RANGE UNBOUNDED PRECEDING) AS upto
               FROM s JOIN keep_targets USING (dimension)),
         c AS (SELECT dimension, max(total_score) AS cutoff FROM g WHERE upto * 100 >= n * keep_percent GROUP BY dimension)"""
+    # similar texts by prefix filtering: two sets of similarity t share one of the n - ceil(t n) + 1 rarest members of each
+    least, similar = _SETTING.format("similarity_min_chars"), _SETTING.format("similarity_min")
+    bare = lambda c: rf"regexp_replace({c}, '[\t-\r\x1C-\x20\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', '', 'g')"
+    pairs_sql = f"""
+        WITH RECURSIVE records AS (SELECT DISTINCT 'qa' AS kind, qa_id AS id, {bare('assistant')} AS t FROM qa_instructions_robust UNION SELECT DISTINCT 'segment', segment_id, {bare('content')} FROM segmented_content),
+        texts AS (SELECT kind, t, row_number() OVER () AS n, list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5))) AS s FROM (SELECT DISTINCT kind, t FROM records WHERE id IS NOT NULL AND length(t) >= {least})),
+        parts AS (SELECT kind, n, len(s) AS size, unnest(s) AS g FROM texts), counted AS (SELECT *, count(*) OVER (PARTITION BY kind, g) AS f FROM parts),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY f, g) AS r FROM counted WHERE true), prefix AS (SELECT * FROM ranked WHERE f > 1 AND r <= size - ceil({similar} * size) + 1),
+        candidates AS (SELECT DISTINCT x.n AS a, y.n AS b FROM prefix x JOIN prefix y ON x.kind = y.kind AND x.g = y.g AND x.n < y.n AND least(x.size, y.size) >= {similar} * greatest(x.size, y.size)),
+        alike AS (SELECT a, b FROM (SELECT a, b, len(list_intersect(x.s, y.s)) AS common, len(x.s) + len(y.s) AS total FROM candidates JOIN texts x ON x.n = a JOIN texts y ON y.n = b) WHERE common / (total - common) >= {similar}),
+        who AS (SELECT DISTINCT r.kind, id::BIGINT AS id, n FROM records r JOIN texts USING (kind, t)),
+        found AS (SELECT x.kind, least(x.id, y.id) AS id_a, greatest(x.id, y.id) AS id_b FROM (SELECT a, b FROM alike UNION ALL SELECT n, n FROM texts) JOIN who x ON x.n = a JOIN who y ON y.n = b AND y.id <> x.id)"""
     return {
+        "p1_found": pairs_sql + " SELECT DISTINCT kind, id_a, id_b FROM found",
+        "p1_groups": pairs_sql
+        + """, edges AS (SELECT kind, id_a AS a, id_b AS b FROM found UNION SELECT kind, id_b, id_a FROM found), reach AS (SELECT kind, a AS id, a AS root FROM edges UNION SELECT r.kind, r.id, e.b FROM reach r JOIN edges e ON e.kind = r.kind AND e.a = r.root)
+            SELECT kind, id, min(root) AS group_id FROM reach GROUP BY kind, id""",
+        "p5_report": """
+            SELECT split_name, target_share, CAST(round(target_share * n) AS BIGINT) AS records, CAST(round(target_share * n) AS BIGINT) / n AS share
+            FROM split_targets, (SELECT count(*) AS n FROM qa_instructions_robust)""",
         "p2_found": cells + " SELECT dimension, difficulty FROM c WHERE available < wanted",
         "p3_found": rf"""
             SELECT DISTINCT segment_id, CASE WHEN list_max(list_transform(string_split_regex(content, '[^\p{{L}}\p{{N}}]'), lambda x: length(x))) > {limit} THEN 'forced' ELSE 'natural' END AS cut
