@@ -59,12 +59,11 @@ def terminology_standardize(spark, d):
 
 
 def sentence_split(spark, d):
-    return cleaning.sentence_rows(_docs(spark, d), "doc_id", "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.sum(F.length("sentence")).alias("chars"))
+    return cleaning.sentence_rows(_docs(spark, d), "doc_id", "text")
 
 
 def sentence_dedup(spark, d):
-    rows = cleaning.deduplicated_sentences(_docs(spark, d), "doc_id", "text")
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if("dup").alias("dups"))
+    return cleaning.deduplicated_sentences(_docs(spark, d), "doc_id", "text")
 
 
 def remove_redundant(spark, d):
@@ -97,7 +96,12 @@ def concept_tags(spark, d):
 
 
 def url_remove(spark, d):
-    return _docs(spark, d).select("doc_id", text.remove_addresses(F.col("text")).alias("_u")).select("doc_id", "_u.text", "_u.fired")
+    return text.remove_addresses(_docs(spark, d).select("doc_id", "text"), "text")
+
+
+def url_remove_basic(spark, d):
+    """UR1-7 alone, the rules without lookaround."""
+    return text.remove_addresses(_docs(spark, d).select("doc_id", "text"), "text", patterns=text.rules.URL_ROUNDS[:7], names=(), tidy=False)
 
 
 def clean_document(spark, d):
@@ -118,8 +122,7 @@ def segments(spark, d):
 
 def segment_filter(spark, d):
     """SG3-5 over the lines of documents in place of chunks."""
-    pieces = _docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("segment_no", "_c"))
-    return pieces.select("doc_id", "segment_no", text.strip(text.sub(F.col("_c"), r"\s+", " ")).alias("content")).where("length(content) > 50")
+    return segmenting.long_enough(_docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("segment_no", "content")))
 
 
 def topic_extract(spark, d):
@@ -154,8 +157,7 @@ def question_sample(spark, d):
 
 
 def topic_mode(spark, d):
-    qa = _qa(spark, d).where("segment_id is not null and topic is not null").select("segment_id", "topic").groupBy("segment_id", "topic").agg(F.count(F.lit(1)).alias("n"))
-    return qa.groupBy("segment_id").agg(F.min(F.struct(-F.col("n"), F.col("topic"))).getField("topic").alias("topic"))
+    return generation.main_topics(_qa(spark, d), "segment_id")
 
 
 def topic_consistency(spark, d):
@@ -186,11 +188,13 @@ def fix_answer(spark, d):
 
 
 def fix_pairs(spark, d):
-    return repair.fix_pairs(_qa(spark, d).select("qa_id", "user", "assistant")).groupBy("fixed").agg(F.count(F.lit(1)).alias("n"))
+    return repair.fix_pairs(_qa(spark, d).select("qa_id", "user", "assistant"))
 
 
 def fix_chat(spark, d):
-    return repair.fix_chat(_table(spark, d, "qa_chat"))
+    """The repaired chat records, a row a turn."""
+    fixed = repair.fix_chat(_table(spark, d, "qa_chat").select("qa_id", "conversations"))
+    return fixed.select("qa_id", F.posexplode("conversations").alias("turn_no", "_t")).select("qa_id", "turn_no", "_t.role", "_t.content")
 
 
 def validate_fixed(spark, d):
@@ -235,6 +239,15 @@ def quality_report(spark, d):
     return quality.report(_scored(spark, d), ["file_ord"])
 
 
+def report_digest(spark, d):
+    return pipeline.report_digest(quality_report(spark, d), "file_ord")
+
+
+def report_json(spark, d):
+    """The report of each file in its nested shape, as JSON."""
+    return quality_report(spark, d).select("file_ord", io.report_lines(F.concat(F.lit("file"), F.col("file_ord").cast("string")), quality.COUNTERS).alias("report"))
+
+
 def issue_counts(spark, d):
     return quality.cumulative(quality_report(spark, d), "file_ord").select("file_ord", *quality.COUNTERS)
 
@@ -263,9 +276,9 @@ def flat_json(spark, d):
 
 
 def page_join(spark, d):
-    """Documents as pages of their source; whole tables."""
-    pages = _docs(spark, d).select(F.coalesce("source", F.lit("")).alias("doc_id"), F.col("doc_id").alias("page_no"), "text")
-    return io.join_pages(pages).select("doc_id", F.length("text").cast("long").alias("chars"))
+    """Documents cut into pages at their page marks, and joined again with new numbers."""
+    pages = _docs(spark, d).where("text is not null").select("doc_id", F.posexplode(F.split("text", "(?Ud)" + text.rules.PAGE_MARK, -1)).alias("_no", "text"))
+    return io.join_pages(pages.select("doc_id", (F.col("_no") + 1).alias("page_no"), "text"))
 
 
 def topic_top10(spark, d):

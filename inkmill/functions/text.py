@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions import rules
@@ -69,24 +69,22 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"(?Ud)\w+"), F.lit(0))
 
 
-def remove_addresses(c: Column) -> Column:
-    """UR1-18: struct(text, fired), the text without web addresses and how many rules fired.
-
-    A fold over an array of patterns keeps the plan small; a rule fires if it shortens the text."""
-    start = F.struct(c.alias("text"), F.lit(0).alias("fired"))
-
-    def step(acc, to):
-        return F.struct(to.alias("text"), (acc["fired"] + (F.length(to) < F.length(acc["text"])).cast("int")).alias("fired"))
-
-    def apply(acc, pattern):
-        return F.get(F.transform(F.array(F.regexp_replace(acc["text"], pattern, F.lit(""))), lambda v: step(acc, v)), 0)
-
-    patterns = F.array(*[F.lit("(?Ud)" + p) for p in rules.URL_ROUNDS])
-    done = F.aggregate(patterns, start, apply)
-    done = F.aggregate(F.array(*[F.lit(s) for s in rules.SITE_NAMES]), done, lambda acc, s: F.get(F.transform(F.array(F.replace(acc["text"], s, F.lit(""))), lambda v: step(acc, v)), 0))
-
-    def tidy(acc):
-        t = sub(sub(sub(acc["text"], r"\s+([,.?!;:])", "$1"), r"([,.?!;:])([,.?!;:])", "$1"), r"\s{2,}", " ")
-        return F.struct(t.alias("text"), acc["fired"].alias("fired"))
-
-    return F.get(F.transform(F.array(done), tidy), 0)
+def remove_addresses(df: DataFrame, text_col: str, fired_col: str = "fired", patterns=rules.URL_ROUNDS, names=rules.SITE_NAMES, tidy: bool = True) -> DataFrame:
+    """UR1-18: df with the text without web addresses and ``fired``, how many rules shortened it; null for null.
+
+    One select whose columns build on each other (lateral aliases), so that each pattern is a literal, compiled once a task.
+    """
+    steps, last = [F.col(text_col).alias("_address0")], "_address0"
+    for i, rule in enumerate([*patterns, *names], 1):
+        cut = F.regexp_replace(last, "(?Ud)" + rule, "") if i <= len(patterns) else F.replace(F.col(last), F.lit(rule), F.lit(""))
+        last = f"_address{i}"
+        steps.append(cut.alias(last))
+    size = lambda i: F.length(F.col(f"_address{i}"))
+    fired = reduce(lambda x, y: x + y, ((size(i) < size(i - 1)).cast("int") for i in range(1, len(steps))), F.lit(0))
+    c = F.col(last)
+    if tidy:
+        c = sub(sub(sub(c, r"\s+([,.?!;:])", "$1"), r"([,.?!;:])([,.?!;:])", "$1"), r"\s{2,}", " ")
+    kept = [F.col(f"`{x}`") for x in df.columns if x not in (text_col, fired_col)]
+    out = df.select(*kept, *steps, c.alias("_addresses_out"), fired.alias("_addresses_fired"))
+    placed = [F.col("_addresses_out").alias(text_col) if x == text_col else F.col(f"`{x}`") for x in df.columns if x != fired_col]
+    return out.select(*placed, F.col("_addresses_fired").alias(fired_col))

@@ -72,14 +72,15 @@ def _let(value: Column, body) -> Column:
 def _term_step(acc: Column, term: Column) -> Column:
     """CL6-8 for one term: count variants as whole words, find an inline definition, rewrite undefined variants.
 
-    A long abbreviation is used as well (the defined text before it is everything since the last bracket)."""
+    They become the abbreviation, or what it stands for (all since the last bracket) if it has more than five characters."""
     text = acc["text"]
     counted = F.aggregate(term["forms"], F.lit(0), lambda n, f: n + F.when(text.contains(f["word"]), F.regexp_count(text, f["whole"])).otherwise(0))
     group = lambda i: F.call_function("regexp_extract", text, term["definition"], F.lit(i))
     facts = F.struct(counted.alias("n"), strip(group(1)).alias("term"), strip(group(2)).alias("abbr"))
 
     def apply(f: Column) -> Column:
-        quoted = F.replace(F.replace(f["abbr"], F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+        to = F.when(F.length(f["abbr"]) <= 5, f["abbr"]).otherwise(f["term"])
+        quoted = F.replace(F.replace(to, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
         defined = f["abbr"] != ""
         rewrite = lambda t, v: F.when((f["term"] != v["word"]) & (f["abbr"] != v["word"]) & t.contains(v["word"]), F.regexp_replace(t, v["outside"], quoted)).otherwise(t)
         n = F.when(f["n"] > 0, f["n"]).when(defined, F.lit(1)).otherwise(F.lit(0))
@@ -90,7 +91,7 @@ def _term_step(acc: Column, term: Column) -> Column:
 
 
 def standardize_terminology(df: DataFrame, text_col: str, terminology=rules.TERMINOLOGY) -> DataFrame:
-    """CL6-8: variants rewritten to the abbreviation that the text defines; map terms of counts by standard term.
+    """CL6-8: variants rewritten to the abbreviation that the text defines, or to its long form; map terms of counts by standard term.
 
     One fold over the dictionary, a fixed list at plan time, so that the plan does not grow with it.
     """
@@ -104,7 +105,7 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, terms: DataFrame) ->
 
     The dictionary is joined to documents by containment; it is collected into a literal array and must stay small.
     """
-    rows = [(r.standard, v) for r in terms.select("standard", "variants").orderBy("standard").limit(10_000).collect() for v in (r.variants or [])]
+    rows = [(r.standard, v) for r in terms.select("standard", "variants").orderBy("standard").collect() for v in (r.variants or [])]
     pairs = F.array(*[F.struct(F.lit(s).alias("standard"), F.lit(v).alias("variant")) for s, v in rows])
     t = F.col(text_col)
     counted = F.transform(pairs, lambda p: F.struct(p["standard"].alias("standard"), ((F.length(t) - F.length(F.replace(t, p["variant"], F.lit("")))) / F.length(p["variant"])).cast("long").alias("n")))
@@ -169,8 +170,8 @@ def clean_documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     out = remove_redundant(out, id_col, text_col)
     out = out.withColumn(text_col, list_regions(associate_figures(t)))
     out = out.withColumn(text_col, tag_definitions(t, F.col("terms")))
-    out = out.withColumn("_u", remove_addresses(t)).withColumn("removed_references", F.col("_u.fired"))
-    return out.withColumn(text_col, final_formatting(F.col("_u.text"))).drop("_u")
+    out = remove_addresses(out, text_col, "removed_references")
+    return out.withColumn(text_col, final_formatting(t))
 
 
 def cleaning_report(cleaned: DataFrame, input_file: str, output_file: str) -> DataFrame:

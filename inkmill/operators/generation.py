@@ -74,29 +74,44 @@ def expand_questions(segs: DataFrame, content: str = "content") -> DataFrame:
     return joined.withColumn("user", F.when(q.endswith("？"), q).otherwise(F.concat(q, F.lit("？")))).withColumn("system", F.lit(rules.SYSTEM_PROMPT))
 
 
+def _draw(seed: int, *cols: str | Column) -> Column:
+    """A pseudo-random text, the same on every engine: a digest of the seed and the columns."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]))
+
+
 def sample_questions(segs: DataFrame, id_cols: list[str], content: str = "content", seed: int = 11, dims: int = 3) -> DataFrame:
-    """QG2, 5, 6: of each segment three dimensions, of each one or two questions, by hash in place of random numbers.
+    """QG2, 5, 6: of each segment three dimensions, of each one or two questions, by a digest in place of random numbers.
 
-    Templates are ranked before the join in a hash of segment and template only, so the window is over keys, not texts.
+    Templates are ranked before the join in a digest of segment and template only, so the windows are over keys, not
+    texts; a question drawn in two dimensions stays in the one that comes first.
     """
     spark = segs.sparkSession
     keys = segs.select(*id_cols).distinct().crossJoin(F.broadcast(templates(spark)))
-    h = lambda *c: F.xxhash64(F.lit(seed), *id_cols, *c)
+    h = lambda *c: _draw(seed, *id_cols, *c)
     keys = keys.withColumn("_d", F.dense_rank().over(Window.partitionBy(*id_cols).orderBy(h("dimension"), "dimension"))).where(F.col("_d") <= dims)
     keys = keys.withColumn("_t", F.row_number().over(Window.partitionBy(*id_cols, "dimension").orderBy(h("dimension", "template"), "difficulty", "tmpl_no")))
-    keys = keys.where(F.col("_t") <= 1 + F.pmod(h("dim_no"), F.lit(2)))
+    keys = keys.where(F.col("_t") <= F.when(F.substring(h("dim_no"), 1, 1) < "8", 1).otherwise(2))
+    keys = keys.withColumn("_o", F.row_number().over(Window.partitionBy(*id_cols, "template").orderBy("dim_no", "difficulty"))).where("_o = 1")
     q = F.replace(F.col("template"), F.lit("{topic}"), F.col("topic"))
     out = with_topic_and_answer(segs, content).join(keys, id_cols).withColumn("user", F.when(q.endswith("？"), q).otherwise(F.concat(q, F.lit("？"))))
-    return out.withColumn("system", F.lit(rules.SYSTEM_PROMPT)).dropDuplicates([*id_cols, "user"]).drop("_d", "_t")
+    return out.withColumn("system", F.lit(rules.SYSTEM_PROMPT)).drop("_d", "_t", "_o")
+
+
+def main_topics(qa: DataFrame, segment: str) -> DataFrame:
+    """(segment, topic): the most frequent topic of each segment, the smallest among equals; null segments and topics don't count."""
+    counted = qa.where(F.col(segment).isNotNull() & F.col("topic").isNotNull()).groupBy(segment, "topic").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(segment).agg(F.min(F.struct(-F.col("_n"), F.col("topic"))).getField("topic").alias("topic"))
 
 
 def consistent_topics(qa: DataFrame, segment: str, content: Column) -> DataFrame:
-    """QG7: within a segment, a topic of responsibility that is not the most common one becomes the driving topic."""
-    w = Window.partitionBy(segment)
-    counted = qa.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(segment, "topic")))
-    main = F.max(F.struct("_n", "topic")).over(w)["topic"]
-    fix = (F.col("topic") != main) & F.col("topic").contains("责任归属") & content.contains("自动驾驶")
-    return counted.withColumn("topic", F.when(fix, F.lit(topics.AUTONOMOUS)).otherwise(F.col("topic"))).drop("_n")
+    """QG7: within a segment, a topic of responsibility that is not the most common one becomes the driving topic.
+
+    Topics are counted a segment before the join, and only rows that may change are joined: no window over a hot segment.
+    """
+    may = F.coalesce(F.col("topic").contains("责任归属") & content.contains("自动驾驶") & F.col(segment).isNotNull(), F.lit(False))
+    main = main_topics(qa, segment).withColumnRenamed("topic", "_main")
+    changed = qa.where(may).join(main, segment, "left").withColumn("topic", F.when(F.col("topic") != F.col("_main"), F.lit(topics.AUTONOMOUS)).otherwise(F.col("topic")))
+    return qa.where(~may).unionByName(changed.select(*qa.columns))
 
 
 def needs_fix(q: Column, a: Column) -> Column:
@@ -114,21 +129,21 @@ def is_sound(q: Column, a: Column) -> Column:
 def repair_pairs(qa: DataFrame, segs: DataFrame, segment: str, content: str) -> DataFrame:
     """VL2: pairs that need it get a new question and answer from their segment; ``fixed`` says which.
 
-    Topic and answer are made once a segment; hot segments are one row on their side of the join.
+    Only those pairs are joined, the others pass by; topic and answer are made once a segment, hot segments are one row
+    on their side of the join.
     """
     source = with_topic_and_answer(segs.select(segment, content).dropDuplicates([segment]), content).select(segment, F.col("topic").alias("_topic"), F.col("assistant").alias("_answer"))
-    joined = qa.join(source, segment, "left")
-    fix = needs_fix(F.col("user"), F.col("assistant")) & F.col("_answer").isNotNull()
+    weak = needs_fix(F.col("user"), F.col("assistant")) & F.col(segment).isNotNull()
     first = F.create_map(*[F.lit(x) for d, fs in rules.DIMENSIONS.items() for x in (d, rules.TEMPLATES[fs[0]][0])])
     template = F.coalesce(F.try_element_at(first, F.coalesce("dimension", F.lit(""))), F.lit(rules.TEMPLATES["medium"][0]))
     q = F.replace(template, F.lit("{topic}"), F.col("_topic"))
-    new = joined.withColumn("fixed", fix)
-    return (
+    new = qa.where(weak).join(source, segment, "left").withColumn("fixed", F.col("_answer").isNotNull())
+    new = (
         new.withColumn("user", F.when(F.col("fixed"), F.when(q.endswith("？"), q).otherwise(F.concat(q, F.lit("？")))).otherwise(F.col("user")))
         .withColumn("assistant", F.when(F.col("fixed"), F.col("_answer")).otherwise(F.col("assistant")))
         .withColumn("topic", F.when(F.col("fixed"), F.col("_topic")).otherwise(F.col("topic")))
-        .drop("_topic", "_answer")
     )
+    return qa.where(~weak).withColumn("fixed", F.lit(False)).unionByName(new.select(*qa.columns, "fixed"))
 
 
 def statistics(qa: DataFrame, segs: DataFrame, segment: str) -> DataFrame:

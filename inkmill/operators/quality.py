@@ -18,14 +18,19 @@ COUNTERS = (
 def with_duplicates(df: DataFrame, order: list[str], question: str = "question", answer: str = "answer") -> DataFrame:
     """DD1-2: dup_question and dup_answer: said before in the order given, the answer by its first 50 characters.
 
-    First occurrences are pre-aggregated to one row a text and joined back, so a text that a third of all rows share is
-    folded before the shuffle, and the join may split it; there is no window over a hot key.
+    Only the order and 128 bits of hash of each text are shuffled, without nulls and empty texts.  First occurrences are
+    pre-aggregated to one row a text, so that a text that a third of all rows share folds before the shuffle; rows said
+    before, the few, are then marked in df.  Rows that share an order are one occurrence.
     """
-    out = df.withColumn("_ord", F.struct(*order)).withColumn("_sign", F.substring(answer, 1, 50))
-    for key, flag in ((question, "dup_question"), ("_sign", "dup_answer")):
-        first = out.where(F.col(key) != "").groupBy(F.col(key).alias("_key")).agg(F.min("_ord").alias("_first"))
-        out = out.join(first, F.col(key) == F.col("_key"), "left").withColumn(flag, F.coalesce(F.col("_ord") > F.col("_first"), F.lit(False))).drop("_key", "_first")
-    return out.drop("_ord", "_sign")
+    ord_ = F.struct(*order)
+    flags = None
+    for text, flag in ((F.col(question), "dup_question"), (F.substring(answer, 1, 50), "dup_answer")):
+        slim = df.where(text != "").select(*order, F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2"))
+        first = slim.groupBy("_h1", "_h2").agg(F.min(ord_).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        again = slim.join(first, ["_h1", "_h2"]).where(ord_ > F.col("_first")).select(*order, *[(F.lit(x == flag)).alias(x) for x in ("dup_question", "dup_answer")])
+        flags = again if flags is None else flags.unionByName(again)
+    flags = flags.groupBy(*order).agg(F.max("dup_question").alias("dup_question"), F.max("dup_answer").alias("dup_answer"))
+    return df.join(flags, order, "left").withColumns({x: F.coalesce(x, F.lit(False)) for x in ("dup_question", "dup_answer")})
 
 
 def _bad_part(c: Column) -> Column:

@@ -59,5 +59,10 @@ def segments(df: DataFrame, id_col: str, text_col: str, size: int = SIZE, overla
         for texts in batches:
             yield texts.map(lambda t: None if t is None else split_text(t, size, overlap))
 
-    pieces = df.select(id_col, F.posexplode(chunked(F.regexp_replace(text_col, "(?Ud)" + PAGE_MARK, ""))).alias("segment_no", "_c"))
-    return pieces.select(id_col, "segment_no", strip(sub(F.col("_c"), r"\s+", " ")).alias("content")).where(F.length("content") > shortest)
+    pieces = df.select(id_col, F.posexplode(chunked(F.regexp_replace(text_col, "(?Ud)" + PAGE_MARK, ""))).alias("segment_no", "content"))
+    return long_enough(pieces, shortest)
+
+
+def long_enough(pieces: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """SG3-5: pieces with single white space, those of more than ``shortest`` characters; numbers stay as they were."""
+    return pieces.withColumn("content", strip(sub(F.col("content"), r"\s+", " "))).where(F.length("content") > shortest)

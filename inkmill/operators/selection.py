@@ -43,4 +43,4 @@ def balanced(scored: DataFrame, order: list[str], least: float = 85.0, extras: i
 
 def final_list(df: DataFrame, key: list[str], size: int = 200, seed: int = 3, score: str = "total_score") -> DataFrame:
     """SL5-6: the ``size`` best records, ties in seeded random order: a distributed top-k, no full sort."""
-    return df.orderBy(F.desc(score), F.xxhash64(F.lit(seed), *key), *key).limit(size)
+    return df.orderBy(F.desc(score), F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])), *key).limit(size)

@@ -56,6 +56,47 @@ def kind(x: str) -> str:
     return f"CASE WHEN {x} = '' THEN 'blank' WHEN {' OR '.join(has(x, p) for p in title)} THEN 'title' WHEN {has(x, figure)} THEN 'figure' WHEN {' OR '.join(has(x, p) for p in items)} THEN 'list' ELSE 'text' END"
 
 
+def line_rows() -> str:
+    """CTEs l and k: the lines of documents with kind, line (a figure's caption) and tagged form."""
+    captions = ", ".join(f"nullif(regexp_extract(raw, {q(p)}), '')" for p in (rf"(?:{w}){S}*\p{{Nd}}+[\.:：][{HAN}a-zA-Z{S[1:-1]}]+" for w in ("图", "表", "Figure", "Table")))
+    return f"""WITH l AS (SELECT doc_id, unnest(range(len(a)))::INT AS line_no, unnest(a) AS raw FROM (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: {strip('x')}) AS a FROM documents WHERE text IS NOT NULL)),
+        k AS (SELECT doc_id, line_no, {kind('raw')} AS kind, CASE WHEN kind = 'figure' THEN coalesce({captions}) ELSE raw END AS line,
+                     CASE kind WHEN 'title' THEN chr(10) || '<标题>' || line || '</标题>' || chr(10) WHEN 'figure' THEN chr(10) || '<图表>' || line || '</图表>' || chr(10) WHEN 'list' THEN '<列表项>' || line || '</列表项>' ELSE line END AS out FROM l)"""
+
+
+def valid_topic(t: str) -> str:
+    bad = [f"length({t}) < 3", any_of(t, rules.TOPIC_BAD_PARTS), has(t, rf"^[\p{{Nd}}.,;:{S[1:-1]}]+$"), *[f"starts_with({t}, {q(x)}) OR ends_with({t}, {q(x)})" for x in rules.TOPIC_STOPS], f"{t} IN ({', '.join(map(q, rules.TOPIC_GENERIC))})", has(t, rf"^的{W}{{1,3}}$")]
+    return f"NOT ({' OR '.join(bad)})"
+
+
+def topic(c: str) -> str:
+    """The topic cascade over a cleaned, non-empty text; rules in the order in which the survey lists them."""
+    let = lambda value, body: f"list_transform([{value}], lambda g: {body})[1]"
+    ws = W[:-1] + S[1:]
+    steps = [let(strip(f"regexp_extract({c}, {q(f'({ws}{{2,20}})[（(]([^)）]+)[)）]技术[:：]')}, 1)"), f"CASE WHEN length(g) > 2 AND {valid_topic('(g || ' + q('技术') + ')')} THEN g || '技术' END")]
+    for term in rules.KNOWN_TERMS:
+        said = has(c, f"(?i){term}([：:](技术定义|原理|是指)|是指|指的是|被定义为)")
+        often = f" OR length({c}) - length(replace({c}, {q(term)}, '')) >= 3 * {len(term)}" if len(term) > 4 else ""
+        steps.append(f"CASE WHEN {said}{often} THEN {q(term)} END")
+    for tail in ("(技术定义与原理|是一种|技术是指)", "[:：](技术定义|原理|是指|指的是|包括|涵盖)", "是[供物仓运输链智能].*?领域.*?的.*?技术"):
+        named = "CASE WHEN contains(g, '技术') THEN g ELSE g || '技术' END"
+        steps.append(let(strip(f"regexp_extract({c}, {q(f'({ws}{{4,25}})' + tail)}, 1)"), f"CASE WHEN length(g) > 3 AND {valid_topic(f'({named})')} THEN {named} END"))
+    for noun in rules.TOPIC_NOUNS:
+        found = f"list_filter(regexp_extract_all(left({c}, 200), {q(f'{W}{{2,15}}{noun}')}), lambda m: length(m) > 4 AND {valid_topic('m')})"
+        steps.append(let(found, "list_filter(g, lambda x: length(x) = list_max(list_transform(g, lambda y: length(y))))[1]"))
+    steps.append(let(f"regexp_extract({c}, {q(f'({W}{{2,15}})(与|和)(安全|责任|挑战|限制|问题)')}, 1)", f"CASE WHEN g <> '' AND {valid_topic('(g || ' + q('技术') + ')')} THEN g || '技术' END"))
+    steps.append(f"CASE WHEN contains({c}, '自动驾驶') AND (contains({c}, '卡车') OR contains({c}, '物流')) THEN '自动驾驶卡车技术' WHEN contains({c}, '自动驾驶') AND (contains({c}, '责任归属') OR contains({c}, '安全与责任')) THEN '自动驾驶技术' END")
+    steps.append(f"CASE WHEN contains({c}, '仓库') OR contains({c}, 'WMS') THEN '仓库管理技术' WHEN contains({c}, '物流') THEN '物流技术' WHEN contains({c}, '供应链') THEN '供应链技术' ELSE '供应链执行技术' END")
+    return f"coalesce({', '.join(steps)})"
+
+
+def related(t: str, c: str) -> str:
+    """A topic that the content supports."""
+    strong = f"CASE WHEN (ends_with({t}, '的因素') OR starts_with({t}, '的') OR length({t}) < 4) THEN CASE WHEN contains({c}, '自动驾驶') THEN '自动驾驶技术' WHEN contains({c}, '仓库') THEN '仓库管理技术' WHEN contains({c}, '供应链') THEN '供应链技术' ELSE {t} END ELSE {t} END"
+    known = "CASE " + " ".join(f"WHEN contains({c}, {q(k)}) THEN {q(k)}" for k in rules.KNOWN_TERMS) + " END"
+    return f"list_transform([{strong}], lambda s: CASE WHEN len(list_filter(regexp_extract_all(s, {q(W + '+')}), lambda w: length(w) > 1 AND contains({c}, w))) > 0 THEN s ELSE coalesce(CASE WHEN length(s) > 2 THEN {known} END, '供应链执行技术') END)[1]"
+
+
 FILES = """
     WITH raw AS (
         SELECT 1 AS file_ord, qa_id, "user" AS question, assistant AS answer, topic, dimension, difficulty FROM qa_instructions_robust
@@ -134,20 +175,57 @@ def _scored() -> str:
         scored AS (SELECT *, round(question_score * 0.3::DOUBLE + answer_score * 0.3::DOUBLE + metadata_score * 0.1::DOUBLE + relevance_score * 0.3::DOUBLE, 1) AS total_score FROM parts)"""
 
 
-def _fix_question() -> str:
+def _fix_question(user: str = '"user"') -> str:
     cut = " OR ".join(has("x", p) for p in rules.CUT_QUESTIONS)
     key = f"regexp_extract(x, '({W[:-1]}{S[1:]}{{2,}})', 1)"
     body = f"""CASE WHEN {cut} THEN CASE WHEN {key} = '' THEN {q(rules.QUESTION_UNKNOWN)} ELSE '什么是' || {strip(key)} || '？它有什么作用？' END
         WHEN contains(x, '哪些公司最') AND length(x) < 15 THEN {q(rules.QUESTION_COMPANIES)} WHEN length(x) < 10 THEN {q(rules.QUESTION_SHORT)}
         WHEN ends_with(x, '？') OR ends_with(x, '?') THEN x ELSE x || '？' END"""
-    user = '"user"'
     return f"CASE WHEN coalesce({user}, '') = '' THEN {q(rules.QUESTION_EMPTY)} ELSE list_transform([{clean_fix(user)}], lambda x: {body})[1] END"
 
 
-def _fix_answer() -> str:
+def _fix_answer(assistant: str = "assistant") -> str:
     ended = f"CASE WHEN {has('x', f'[,，:：;；]{S}*$')} THEN left(x, length(x) - 1) || '。' ELSE x END"
     body = f"list_transform([list_transform([{sub('y', PAGE)}], lambda x: {ended})[1]], lambda z: CASE WHEN ends_with(z, '包括') OR ends_with(z, '例如') OR ends_with(z, '有') THEN z || {q(rules.ANSWER_TAIL)} ELSE z END)[1]"
-    return f"CASE WHEN length(coalesce(assistant, '')) < 50 THEN {q(rules.ANSWER_SHORT)} ELSE list_transform([{clean_fix('assistant')}], lambda y: {body})[1] END"
+    return f"CASE WHEN length(coalesce({assistant}, '')) < 50 THEN {q(rules.ANSWER_SHORT)} ELSE list_transform([{clean_fix(assistant)}], lambda y: {body})[1] END"
+
+
+def json_object(fields: list[tuple[str, str]]) -> str:
+    """A JSON object without the fields that are null."""
+    parts = ", ".join(f"""'"{name}":' || {value}""" for name, value in fields)
+    return f"'{{' || array_to_string(list_filter([{parts}], lambda x: x IS NOT NULL), ',') || '}}'"
+
+
+def text_json(c: str) -> str:
+    return f"to_json({c})::VARCHAR"
+
+
+def answer() -> str:
+    """CTE a (segment_id, answer): the answer of each segment, by list functions that fold over its sentences."""
+    segs = "(SELECT segment_id, any_value(content) AS content FROM segmented_content GROUP BY segment_id)"
+    tok, join = "length(array_to_string({}, ' ')) // 3", "array_to_string({}, ' ')"
+    defined = "list_filter(s, lambda x: " + any_of("x", rules.ANSWER_DEFINITIONS) + ")[1:1]"
+    keyed = f"flatten(list_transform([{', '.join(map(q, rules.ANSWER_KEYS))}], lambda k: list_filter(s, lambda x: contains(x, k))))"
+    # each key sentence is taken unless it is there or the selection is beyond 0.7 of the budget
+    with_keys = f"list_reduce({keyed}, lambda acc, x: CASE WHEN list_contains(acc, x) OR (len(acc) > n0 AND {tok.format('acc')} > 245) THEN acc ELSE list_append(acc, x) END, sel)"
+    filled = f"list_reduce(s, lambda acc, x: CASE WHEN acc.stop OR list_contains(acc.sel, x) THEN acc WHEN {tok.format('list_append(acc.sel, x)')} <= 350 THEN {{'sel': list_append(acc.sel, x), 'stop': false}} ELSE {{'sel': acc.sel, 'stop': true}} END, {{'sel': sel, 'stop': false}}).sel"
+    return f"""c AS (SELECT segment_id, content, {clean_gen('content')} AS cleaned FROM {segs}),
+        sents AS (SELECT *, list_filter(list_transform(regexp_extract_all(cleaned, '[^。！？!?;；]*[。！？!?;；]'), lambda x: {strip('x')}), lambda x: x <> '') AS s FROM c),
+        first AS (SELECT *, {defined} AS sel, len({defined}) AS n0 FROM sents), keys AS (SELECT * EXCLUDE (sel), {with_keys} AS sel FROM first),
+        full_sel AS (SELECT *, {filled} AS done FROM keys),
+        a AS (SELECT segment_id, content, CASE WHEN coalesce(content, '') = '' THEN {q(rules.APOLOGY)} WHEN length(cleaned) // 3 <= 350 THEN cleaned
+                     ELSE {clean_gen(f"CASE WHEN length({join.format('done')}) < 50 THEN {join.format('s[1:3]')} ELSE {join.format('done')} END")} END AS answer FROM full_sel)"""
+
+
+def topics() -> str:
+    """CTE t (segment_id, content, topic): the topic extracted from each segment."""
+    segs = "(SELECT segment_id, any_value(content) AS content FROM segmented_content GROUP BY segment_id)"
+    return f"t AS (SELECT segment_id, content, CASE WHEN coalesce(content, '') = '' THEN '供应链技术' ELSE list_transform([{clean_gen('content')}], lambda c: {topic('c')})[1] END AS topic FROM {segs})"
+
+
+def templates() -> str:
+    rows = [(d, i, f, k, x) for i, (d, fs) in enumerate(rules.DIMENSIONS.items()) for f in fs for k, x in enumerate(rules.TEMPLATES[f])]
+    return "tm AS (SELECT * FROM (VALUES " + ", ".join(f"({q(d)}, {i}, {q(f)}, {k}, {q(x)})" for d, i, f, k, x in rows) + ") AS v(dimension, dim_no, difficulty, tmpl_no, template))"
 
 
 def build() -> dict[str, str]:
@@ -161,19 +239,52 @@ def build() -> dict[str, str]:
         s AS (SELECT doc_id, para_idx, unnest(range(len(a))) AS sent_idx, unnest(a) AS sentence FROM (SELECT doc_id, para_idx, list_filter(list_transform(string_split_regex(p, '[。！？\\.!?]'), lambda x: {strip('x')}), lambda x: x <> '') AS a FROM p))"""
     sound = f"coalesce(length({user}) >= 5 AND length(assistant) >= 50 AND ({_bad(user)}) IS NULL AND ({_bad('assistant')}) IS NULL, false)"
     needs = f"(length(coalesce({user}, '')) < 10 OR {any_of(f'coalesce({user}, {q(str())})', ('》', '《'))} OR length(coalesce(assistant, '')) < 100 OR contains(coalesce(assistant, ''), '==='))"
-    valid = "NOT (length(topic) < 3 OR " + any_of("topic", rules.TOPIC_BAD_PARTS) + " OR " + has("topic", rf"^[\p{{Nd}}.,;:{S[1:-1]}]+$") + " OR " + " OR ".join(f"starts_with(topic, {q(s)}) OR ends_with(topic, {q(s)})" for s in rules.TOPIC_STOPS) + f" OR topic IN ({', '.join(map(q, rules.TOPIC_GENERIC))}) OR " + has("topic", rf"^的{W}{{1,3}}$") + ")"
+    valid = valid_topic("topic")
     formatted = sub(sub(sub("text", "<[^>]+>"), r"\n{3,}", "\n\n"), rf"([。！？\.!?]){S}*\n({NS})", r"\1" + "\n\n" + r"\2")
     formatted = sub(sub(formatted, rf"([。，；：！？])({NS})", r"\1 \2"), f"{S}+", " ")
     segs = "(SELECT segment_id, any_value(content) AS content FROM segmented_content GROUP BY segment_id)"
+    balanced = scored + """, high AS (SELECT * FROM scored WHERE total_score >= 85),
+        a AS (SELECT coalesce(dimension, 'unknown') AS c, count(*) AS n FROM high GROUP BY ALL), b AS (SELECT coalesce(difficulty, 'unknown') AS c, count(*) AS n FROM high GROUP BY ALL),
+        u AS (SELECT coalesce((SELECT min(n) < max(n) / 3 FROM a), false) OR coalesce((SELECT min(n) < max(n) / 3 FROM b), false) AS uneven),
+        x AS (SELECT file_ord, qa_id, total_score, true AS extra FROM scored, u WHERE uneven AND total_score >= 75 AND total_score < 85
+              AND (coalesce(dimension, 'unknown') IN (SELECT c FROM a WHERE n = (SELECT min(n) FROM a)) OR coalesce(difficulty, 'unknown') IN (SELECT c FROM b WHERE n = (SELECT min(n) FROM b)))
+              ORDER BY total_score DESC, file_ord, qa_id LIMIT 20),
+        best AS (SELECT file_ord, qa_id, total_score, false AS extra FROM high UNION ALL SELECT * FROM x)"""
+    # the address rules without lookaround, with Unicode white space spelled out
+    tld, name = "com|org|net|cn|io|ai", r"[a-zA-Z0-9\.-]+"
+    addresses = (
+        rf"{S}+https?://{name}\.[a-zA-Z]{{2,}}{NS}*", rf"{S}+www\.{name}\.[a-zA-Z]{{2,}}{NS}*", rf"{S}+{name}\.(?:{tld}){NS}*", rf"{S}+\([^)]*?(?:https?://|www\.)[^)]*?\)", rf"{S}+（[^）]*?(?:https?://|www\.)[^）]*?）",
+        rf"{S}+\([^)]*?{name}\.(?:{tld})[^)]*?\)", rf"{S}+（[^）]*?{name}\.(?:{tld})[^）]*?）",
+    )
     return {
         "clean_text_gen": f"SELECT doc_id, {clean_gen('text')} AS cleaned FROM documents",
         "clean_text_fix": f"SELECT qa_id, {clean_fix(user)} AS cleaned FROM qa_instructions_robust",
         "token_count": "SELECT doc_id, length(coalesce(text, '')) // 3 AS tokens FROM documents",
+        "line_structure": line_rows() + " SELECT doc_id, line_no, kind, line, out FROM k",
+        "list_regions": line_rows() + f", d AS (SELECT doc_id, string_agg(out, chr(10) ORDER BY line_no) AS t FROM k GROUP BY doc_id) SELECT doc_id, {sub('t', '((?:<列表项>[^' + chr(92) + 'n<]*</列表项>' + S + '*){2,})', chr(10) + '<列表区域>' + chr(10) + chr(92) + '1' + chr(10) + '</列表区域>' + chr(10))} AS text FROM d UNION ALL SELECT doc_id, NULL FROM documents WHERE text IS NULL",
+        "remove_redundant": sents
+        + ", r AS (SELECT *, length(sentence) > 10 AND row_number() OVER (PARTITION BY doc_id, lower(sentence) ORDER BY para_idx, sent_idx) > 1 AS dup FROM s), p2 AS (SELECT doc_id, para_idx, string_agg(sentence, '。' ORDER BY sent_idx) FILTER (NOT dup) || '。' AS p, count(*) FILTER (dup) AS n FROM r GROUP BY ALL),"
+        + " w AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY para_idx) AS text, sum(n)::BIGINT AS redundant FROM p2 GROUP BY doc_id) SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(w.text, '') END AS text, coalesce(redundant, 0) AS redundant FROM documents d LEFT JOIN w USING (doc_id)",
+        "fix_chat": f"""WITH t AS (SELECT qa_id, conversations, unnest(range(len(conversations)))::INT AS turn_no, unnest(conversations) AS turn FROM qa_chat)
+            SELECT qa_id, turn_no, turn.role AS role, CASE turn.role WHEN 'user' THEN {_fix_question('turn.content')} WHEN 'assistant' THEN {_fix_answer('turn.content')} ELSE turn.content END AS content FROM t""",
+        "chat_jsonl": f"""SELECT qa_id, {json_object([("conversations", "'[' || array_to_string([" + ", ".join(json_object([("role", text_json(q(r))), ("content", text_json(c))]) for r, c in (("system", q(rules.SYSTEM_PROMPT)), ("user", user), ("assistant", "assistant"))) + "], ',') || ']'"), ("segment_id", "segment_id::VARCHAR"), *[(c, text_json(c)) for c in ("dimension", "difficulty", "topic")]])} AS line FROM qa_instructions_robust""",
+        "flat_json": f"""SELECT qa_id, {json_object([("system", text_json("system")), ("user", text_json(user)), *[(c, text_json(c)) for c in ("assistant", "topic", "dimension", "difficulty")], ("segment_id", "segment_id::VARCHAR")])} AS line FROM qa_instructions_robust""",
+        "topic_extract": f"WITH {topics()} SELECT segment_id, topic FROM t",
+        "topic_relation": f"SELECT qa_id, {related('topic', 'assistant')} AS topic FROM qa_instructions_robust WHERE topic IS NOT NULL AND assistant IS NOT NULL",
+        "answer_greedy": f"WITH {answer()} SELECT segment_id, answer FROM a",
+        "template_expand": f"""WITH {topics()}, {templates()}, r AS (SELECT segment_id, {related('topic', 'content')} AS topic FROM t WHERE content IS NOT NULL)
+            SELECT segment_id, dimension, difficulty, topic, CASE WHEN ends_with(template, '？') THEN replace(template, '{{topic}}', topic) ELSE replace(template, '{{topic}}', topic) || '？' END AS {user} FROM r, tm""",
+        "repair_lookup_join": f"""WITH {topics()}, {answer()}, g AS (SELECT t.segment_id, {related('t.topic', 't.content')} AS new_topic, answer FROM t JOIN a ON t.segment_id IS NOT DISTINCT FROM a.segment_id WHERE t.content IS NOT NULL),
+            x AS (SELECT p.*, new_topic, answer, {needs} AND answer IS NOT NULL AS fixed FROM qa_instructions_robust p LEFT JOIN g USING (segment_id)),
+            y AS (SELECT *, replace(CASE dimension {' '.join(f"WHEN {q(d)} THEN {q(rules.TEMPLATES[fs[0]][0])}" for d, fs in rules.DIMENSIONS.items())} ELSE {q(rules.TEMPLATES['medium'][0])} END, '{{topic}}', new_topic) AS nq FROM x)
+            SELECT qa_id, CASE WHEN fixed THEN CASE WHEN ends_with(nq, '？') THEN nq ELSE nq || '？' END ELSE {user} END AS {user}, CASE WHEN fixed THEN answer ELSE assistant END AS assistant, CASE WHEN fixed THEN new_topic ELSE topic END AS topic, dimension, segment_id, fixed FROM y""",
+        "topic_consistency": """WITH n AS (SELECT segment_id, topic, count(*) AS n FROM qa_instructions_robust WHERE segment_id IS NOT NULL AND topic IS NOT NULL GROUP BY ALL), m AS (SELECT segment_id, topic AS main FROM n QUALIFY row_number() OVER (PARTITION BY segment_id ORDER BY n DESC, topic) = 1)
+            SELECT qa_id, CASE WHEN topic <> main AND contains(topic, '责任归属') AND contains(assistant, '自动驾驶') THEN '自动驾驶技术' ELSE topic END AS topic FROM qa_instructions_robust LEFT JOIN m USING (segment_id) WHERE segment_id IS NOT NULL""",
         "line_kind_counts": lines + " SELECT kind, count(*) AS n FROM k GROUP BY kind",
         "terminology_counts": "SELECT doc_id, standard, sum((length(text) - length(replace(text, v, ''))) // length(v))::BIGINT AS n FROM documents, (SELECT standard, unnest(variants) AS v FROM terminology) WHERE contains(text, v) GROUP BY ALL",
-        "sentence_split": sents + " SELECT doc_id, count(*) AS sentences, sum(length(sentence))::BIGINT AS chars FROM s GROUP BY doc_id",
+        "sentence_split": sents + " SELECT doc_id, para_idx::INT AS para_idx, sent_idx::INT AS sent_idx, sentence FROM s",
         "sentence_dedup": sents
-        + ", r AS (SELECT *, length(sentence) > 10 AND row_number() OVER (PARTITION BY doc_id, lower(sentence) ORDER BY para_idx, sent_idx) > 1 AS dup FROM s) SELECT doc_id, count(*) AS sentences, count(*) FILTER (dup) AS dups FROM r GROUP BY doc_id",
+        + ", r AS (SELECT *, length(sentence) > 10 AND row_number() OVER (PARTITION BY doc_id, lower(sentence) ORDER BY para_idx, sent_idx) > 1 AS dup FROM s) SELECT doc_id, para_idx::INT AS para_idx, sent_idx::INT AS sent_idx, sentence, dup FROM r",
         "strip_tags": f"SELECT doc_id, {sub('text', '<[^>]+>')} AS stripped FROM documents",
         "final_formatting": f"SELECT doc_id, {formatted} AS formatted FROM documents",
         "segment_filter": f"SELECT * FROM (SELECT doc_id, unnest(range(len(a)))::INT AS segment_no, {strip(sub('unnest(a)', f'{S}+', ' '))} AS content FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)) WHERE length(content) > 50",
@@ -187,7 +298,7 @@ def build() -> dict[str, str]:
             UNION ALL SELECT 'segments', 'covered', count(DISTINCT segment_id) FROM qa_instructions_robust UNION ALL SELECT 'segments', 'all', count(DISTINCT segment_id) FROM segmented_content""",
         "fix_question": f"SELECT qa_id, {_fix_question()} AS {user} FROM qa_instructions_robust",
         "fix_answer": f"SELECT qa_id, {_fix_answer()} AS assistant FROM qa_instructions_robust",
-        "fix_pairs": f"SELECT fixed, count(*) AS n FROM (SELECT {_fix_question()} IS DISTINCT FROM {user} OR {_fix_answer()} IS DISTINCT FROM assistant AS fixed FROM qa_instructions_robust) GROUP BY fixed",
+        "fix_pairs": f"SELECT qa_id, {_fix_question()} AS {user}, {_fix_answer()} AS assistant, {_fix_question()} IS DISTINCT FROM {user} OR {_fix_answer()} IS DISTINCT FROM assistant AS fixed FROM qa_instructions_robust",
         "validate_fixed": f"""WITH f AS (SELECT {_fix_question()} AS q, {_fix_answer()} AS a FROM qa_instructions_robust)
             SELECT count(*) AS total, count(*) FILTER (length(q) >= 10 AND (ends_with(q, '？') OR ends_with(q, '?'))) AS good_questions, count(*) FILTER (length(a) >= 50) AS good_answers,
                    good_questions * 100.0::DOUBLE / total AS good_questions_percent, good_answers * 100.0::DOUBLE / total AS good_answers_percent FROM f""",
@@ -201,15 +312,19 @@ def build() -> dict[str, str]:
         "quality_report": scored + report,
         "issue_counts": scored + f", r AS ({report}) SELECT file_ord, {', '.join(f'sum({c}) OVER (ORDER BY file_ord)::BIGINT AS {c}' for c in COUNTERS)} FROM r",
         "select_threshold": scored + " SELECT file_ord, qa_id, total_score FROM scored WHERE total_score >= 85",
-        "select_balanced": scored
-        + """, high AS (SELECT * FROM scored WHERE total_score >= 85),
-            a AS (SELECT coalesce(dimension, 'unknown') AS c, count(*) AS n FROM high GROUP BY ALL), b AS (SELECT coalesce(difficulty, 'unknown') AS c, count(*) AS n FROM high GROUP BY ALL),
-            u AS (SELECT coalesce((SELECT min(n) < max(n) / 3 FROM a), false) OR coalesce((SELECT min(n) < max(n) / 3 FROM b), false) AS uneven),
-            x AS (SELECT file_ord, qa_id, total_score, true AS extra FROM scored, u WHERE uneven AND total_score >= 75 AND total_score < 85
-                  AND (coalesce(dimension, 'unknown') IN (SELECT c FROM a WHERE n = (SELECT min(n) FROM a)) OR coalesce(difficulty, 'unknown') IN (SELECT c FROM b WHERE n = (SELECT min(n) FROM b)))
-                  ORDER BY total_score DESC, file_ord, qa_id LIMIT 20)
-            SELECT file_ord, qa_id, total_score, false AS extra FROM high UNION ALL SELECT * FROM x""",
-        "page_join": f"SELECT coalesce(source, '') AS doc_id, sum(length({strip('coalesce(text, chr(32))')}) + length('=== 第  页 ===') + 4 + length(doc_id::VARCHAR))::BIGINT AS chars FROM documents GROUP BY ALL",
+        "select_balanced": balanced + " SELECT * FROM best",
+        "page_join": f"SELECT doc_id, array_to_string(list_transform(string_split_regex(text, {q(PAGE)}), lambda x, i: chr(10) || chr(10) || '=== 第 ' || i || ' 页 ===' || chr(10) || chr(10) || {strip('x')}), '') AS text FROM documents WHERE text IS NOT NULL",
+        "url_remove_basic": f"WITH t0 AS (SELECT doc_id, text, text AS x0 FROM documents)" + "".join(f", t{i + 1} AS (SELECT *, {sub(f'x{i}', p)} AS x{i + 1} FROM t{i})" for i, p in enumerate(addresses))
+        + f" SELECT doc_id, x{len(addresses)} AS text, {' + '.join(f'(length(x{i + 1}) < length(x{i}))::INT' for i in range(len(addresses)))} AS fired FROM t{len(addresses)}",
+        "report_digest": scored + f", r AS ({report}) SELECT file_ord, total_pairs, average_score, excellent, question_answer_mismatch, topic_mismatch FROM r",
+        "report_json": scored + f", r AS ({report}) SELECT file_ord, " + json_object([("filename", "to_json('file' || file_ord)::VARCHAR"), ("total_pairs", "total_pairs::VARCHAR"), ("average_score", "average_score::VARCHAR"),
+            *[(name, json_object([(c, f"{c}::VARCHAR") for c in cs])) for name, cs in (("score_distribution", ("excellent", "good", "fair", "poor")), ("common_issues", COUNTERS))]]) + " AS report FROM r",
+        "final_top200": balanced + " SELECT file_ord, qa_id, total_score FROM best ORDER BY total_score DESC, md5(concat_ws('|', 3, file_ord, qa_id)), file_ord, qa_id LIMIT 200",
+        "question_sample": f"""WITH {topics()}, {answer()}, {templates()}, g AS (SELECT t.segment_id, {related('t.topic', 't.content')} AS topic, answer FROM t JOIN a ON t.segment_id IS NOT DISTINCT FROM a.segment_id WHERE t.content IS NOT NULL),
+            k AS (SELECT segment_id, tm.*, dense_rank() OVER (PARTITION BY segment_id ORDER BY md5(concat_ws('|', 11, segment_id, dimension)), dimension) AS d FROM g, tm),
+            k2 AS (SELECT *, row_number() OVER (PARTITION BY segment_id, dimension ORDER BY md5(concat_ws('|', 11, segment_id, dimension, template)), difficulty, tmpl_no) AS n FROM k WHERE d <= 3),
+            k3 AS (SELECT *, row_number() OVER (PARTITION BY segment_id, template ORDER BY dim_no, difficulty) AS o FROM k2 WHERE n <= CASE WHEN left(md5(concat_ws('|', 11, segment_id, dim_no)), 1) < '8' THEN 1 ELSE 2 END)
+            SELECT segment_id, dimension, difficulty, topic, CASE WHEN ends_with(template, '？') THEN replace(template, '{{topic}}', topic) ELSE replace(template, '{{topic}}', topic) || '？' END AS {user}, answer AS assistant FROM k3 JOIN g USING (segment_id) WHERE o = 1""",
         "topic_top10": "SELECT coalesce(topic, '未知主题') AS topic, count(*) AS n FROM qa_instructions_robust GROUP BY ALL ORDER BY n DESC, topic LIMIT 10",
         "dimension_dist": "SELECT coalesce(dimension, '未知维度') AS dimension, count(*) AS n FROM qa_instructions_robust GROUP BY ALL",
     }

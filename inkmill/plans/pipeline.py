@@ -11,11 +11,14 @@ from inkmill.operators import cleaning, generation, quality, repair, segmenting,
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder of the session (a temporary one only if none is set), so that later stages
-    are planned on its columns and not on the expressions behind them."""
+    """df written to the checkpoint folder of the session (a temporary one only in local mode where none is set), so that
+    later stages are planned on its columns and not on the expressions behind them."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkmill-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="inkmill-"))
     return df.checkpoint()
 
 
@@ -58,9 +61,9 @@ def dimension_distribution(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(F.coalesce("dimension", F.lit("未知维度")).alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def report_digest(reports: DataFrame) -> DataFrame:
-    """PL4."""
-    return reports.select("file", "total_pairs", "average_score", "excellent", "good", "fair", "poor")
+def report_digest(reports: DataFrame, by: str) -> DataFrame:
+    """PL4: of each report the pairs, average score, excellent ones and the two kinds of mismatch."""
+    return reports.select(by, "total_pairs", "average_score", "excellent", "question_answer_mismatch", "topic_mismatch")
 
 
 def cleaning_digest(cleaned: DataFrame, id_col: str) -> DataFrame:

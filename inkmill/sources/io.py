@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,9 +60,7 @@ def read_records(spark: SparkSession, path: str, schema: str, strict: bool = Fal
 
 def read_in_order(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """IO18: several files with file_ord; missing ones are skipped, missing columns null."""
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    there = [(i, p) for i, p in enumerate(paths, 1) if fs.Path(p).getFileSystem(conf).exists(fs.Path(p))]
+    there = [(i, p) for i, p in enumerate(paths, 1) if exists(spark, p)]
     parts = [read_records(spark, p, schema).withColumn("file_ord", F.lit(i)) for i, p in there]
     if not parts:
         return spark.createDataFrame([], schema).withColumn("file_ord", F.lit(0))
@@ -83,6 +86,50 @@ def flat_lines(df: DataFrame, columns: tuple[str, ...]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in columns if c in df.columns]))
 
 
+def report_lines(filename: Column, counters: tuple[str, ...]) -> Column:
+    """IO16: a quality report in its nested shape: filename, total_pairs, average_score, score_distribution, common_issues."""
+    distribution = F.struct(*[F.col(c) for c in ("excellent", "good", "fair", "poor")])
+    return F.to_json(F.struct(filename.alias("filename"), "total_pairs", "average_score", distribution.alias("score_distribution"), F.struct(*[F.col(c) for c in counters]).alias("common_issues")))
+
+
+def write_array(df: DataFrame, path: str, indent: int = 2) -> None:
+    """IO7: the records as JSON arrays, one a part file, indented; each part is written as it is made, never a whole table at once.
+
+    An empty part gives an empty array, or an empty file where Spark plans no task for it; both are read as no records.
+    """
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, pad = None, " " * indent  # a record waits for the next one, which puts a comma after it
+        for batch in batches:
+            out = []
+            for line in batch.column(0).to_pylist():
+                out.append("[" if held is None else held + ",")
+                held = pad + json.dumps(json.loads(line), ensure_ascii=False, indent=indent).replace("\n", "\n" + pad)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]"] if held is None else [held, "]"])], names=["value"])
+
+    df.select(record.alias("value")).mapInArrow(parts, "value string").write.mode("overwrite").text(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def first_folder(spark: SparkSession, *folders: str) -> str:
+    """IO17: the first of the folders that can be made or is there; the last one is the fallback."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders[:-1]:
+        try:
+            if fs.Path(folder).getFileSystem(conf).mkdirs(fs.Path(folder)):
+                return folder
+        except Py4JJavaError:
+            continue
+    return folders[-1]
+
+
 def write_lines(df: DataFrame, line: Column, path: str, skip_existing: bool = False) -> None:
     """IO5, 7, 10, 15-17, 19: text lines in parallel part files; skip_existing leaves what is there."""
     df.select(line.alias("value")).write.mode("ignore" if skip_existing else "overwrite").text(path)

@@ -12,7 +12,7 @@ from inkmill.operators import segmenting
 def segment_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Address removal, formatting and segmentation of a stream of documents (deduplication of sentences, which needs all
     sentences of a document side by side, is left to the batch stage)."""
-    cleaned = docs.withColumn(text_col, final_formatting(remove_addresses(F.col(text_col))["text"]))
+    cleaned = remove_addresses(docs, text_col).withColumn(text_col, final_formatting(F.col(text_col)))
     return segmenting.segments(cleaned, id_col, text_col)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkmill import catalog
-from inkmill.operators import segmenting
+from inkmill.operators import generation
 from inkmill.plans import pipeline
 from inkmill.sources import io
 from inkmill.streaming import stages
@@ -16,6 +16,8 @@ SF = "/root/testdata/sf0.001"
 CHECKED = [
     "clean_text_gen", "clean_text_fix", "line_kind_counts", "terminology_counts", "sentence_dedup", "final_formatting", "segment_filter", "topic_valid", "answer_sentences", "topic_mode", "validate_pairs",
     "pair_statistics", "fix_question", "fix_answer", "validate_fixed", "duplicates", "keyword_set", "evaluate_pairs", "quality_report", "issue_counts", "select_balanced", "page_join", "dimension_dist",
+    "line_structure", "list_regions", "remove_redundant", "sentence_split", "chat_jsonl", "flat_json", "topic_extract", "topic_relation", "answer_greedy", "template_expand", "question_sample", "repair_lookup_join",
+    "topic_consistency", "fix_pairs", "fix_chat", "url_remove_basic", "report_digest", "report_json", "final_top200",
 ]
 
 
@@ -42,6 +44,44 @@ def test_pages_and_preference(spark):
     assert io.prefer(better.where("false"), joined, "doc_id").first().text.startswith("\n\n===")
 
 
+def test_json_arrays_and_folders(spark, tmp_path):
+    df = spark.createDataFrame([(i, "文本\n\"x\"" if i else None) for i in range(5)], "a int, b string").coalesce(1)
+    io.write_array(df, str(tmp_path / "x.json"))
+    (part,) = (tmp_path / "x.json").glob("part-*")
+    raw = part.read_text(encoding="utf-8")
+    assert json.loads(raw) == [{"a": i, "b": "文本\n\"x\"" if i else None} for i in range(5)] and '\n  {\n    "a": 0,' in raw
+    assert io.read_records(spark, str(tmp_path / "x.json"), "a int, b string", strict=True).count() == 5
+    io.write_array(df.where("false"), str(tmp_path / "none.json"))
+    assert io.read_records(spark, str(tmp_path / "none.json"), "a int, b string", strict=True).count() == 0
+    (tmp_path / "file").write_text("")
+    assert io.first_folder(spark, str(tmp_path / "file" / "no"), str(tmp_path / "yes")) == str(tmp_path / "yes") and io.first_folder(spark, str(tmp_path / "new"), "other") == str(tmp_path / "new")
+
+
+def test_command_line(spark, tmp_path):
+    from inkmill.__main__ import main
+
+    (tmp_path / "in.txt").write_text("1. 仓储概述\n仓库管理系统是一种平台。" + "".join(f"它可以管理第{i}类库存与作业流程。" for i in range(60)), encoding="utf-8")
+    main(["run", str(tmp_path / "in.txt"), str(tmp_path / "out")])
+    assert {p.name for p in (tmp_path / "out").iterdir()} >= {"enhanced", "enhanced_report", "segments.json", "pairs.json", "pairs.json_chat", "fixed.json", "best.json", "best.json_report"}
+    assert io.read_records(spark, str(tmp_path / "out" / "fixed.json"), io.PAIR).count() >= 3
+    main(["run", str(tmp_path / "in.txt"), str(tmp_path / "out"), "--skip-existing"])
+    with pytest.raises(SystemExit, match="stage clean failed"):
+        main(["run", str(tmp_path / "missing.txt"), str(tmp_path / "out2")])
+
+
+def test_one_segment_holding_half_of_the_rows(spark):
+    # null and hot keys: nothing but counts is gathered by segment, and rows that need no change are not joined
+    rows = [(i, 1 if i % 2 else None if i % 3 else i, ["自动驾驶", "责任归属分析", None][i % 3], "问题到底是什么呢，请说明？", "自动驾驶" + "长" * 120 if i % 5 else "短") for i in range(600)]
+    qa = spark.createDataFrame(rows, "qa_id int, segment_id int, topic string, user string, assistant string").withColumn("dimension", F.lit("释义类"))
+    out = generation.consistent_topics(qa, "segment_id", F.col("assistant"))
+    main = {None: None} | {r.segment_id: r.topic for r in generation.main_topics(qa, "segment_id").collect()}
+    want = {q: "自动驾驶技术" if s and t and t != main[s] and "责任归属" in t and "自动驾驶" in a else t for q, s, t, _, a in rows}
+    assert {r.qa_id: r.topic for r in out.collect()} == want and out.columns == qa.columns
+    segs = spark.createDataFrame([(1, "区块链是指一种分布式账本。" * 10), (1, "区块链是指一种分布式账本。" * 10)], "segment_id int, content string")
+    fixed = {r.qa_id: r.fixed for r in generation.repair_pairs(qa, segs, "segment_id", "content").collect()}
+    assert fixed == {q: s == 1 and a == "短" for q, s, _, _, a in rows}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     docs = spark.createDataFrame([(1, "句子。" * 400), (2, None)], "doc_id long, text string")
     docs.write.parquet(str(tmp_path / "in"))

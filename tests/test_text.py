@@ -60,10 +60,12 @@ def test_figures_lists_and_concepts(spark):
 
 
 def test_addresses(spark):
-    r = one(spark, "见 https://a.example.com/x 及 www.b.example.org 。", text.remove_addresses)
-    assert "http" not in r.text and "www" not in r.text and r.fired >= 2
-    r = one(spark, "没有网址的中文。", text.remove_addresses)
-    assert (r.text, r.fired) == ("没有网址的中文。", 0)
+    df = spark.createDataFrame([(1, "见 https://a.example.com/x 及 www.b.example.org 。", "x"), (2, "没有网址的中文。", "y"), (3, None, "z"), (4, "", "w")], "id int, text string, fired string")
+    out = text.remove_addresses(df, "text")
+    got = {r.id: r for r in out.collect()}
+    assert out.columns == ["id", "text", "fired"]
+    assert "http" not in got[1].text and "www" not in got[1].text and got[1].fired >= 2
+    assert (got[2].text, got[2].fired) == ("没有网址的中文。", 0) and got[3].text is None and got[3].fired is None and got[4].text == ""
 
 
 def test_clean_documents(spark):
