@@ -216,18 +216,18 @@ def similar_classes(texts: DataFrame, threshold: float, width: int) -> DataFrame
     """
     spark = texts.sparkSession
     signed, bands, size = _bands(texts, width)
-    with enough_partitions(spark, 2 * size):
-        first = bands.groupBy("key").agg(F.min("i").alias("ia"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "ia")
-        star = cut_lineage(bands.select(F.col("i").alias("ib"), "key").join(first, "key").where("ia <> ib").select("ia", "ib").distinct())
-    links = _verified(star, signed, texts, threshold, width)
+    with enough_partitions(spark, size):
+        first = cut_lineage(bands.groupBy("key").agg(F.min("i").alias("ia"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "ia"))
+        # most buckets hold one text: the others' rows alone are shuffled again
+        buckets = cut_lineage(maybe_among(bands, "key", first).join(first, "key"))
+    links = _verified(buckets.where("i <> ia").select("ia", F.col("i").alias("ib")).distinct(), signed, texts, threshold, width)
     roots = components(links, "ia", "ib")
-    with enough_partitions(spark, 2 * size):
-        classed = bands.join(roots.select(F.col("node").alias("i"), "root"), "i", "left").select("key", "i", F.coalesce("root", "i").alias("c"))
-        counted = classed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("n", "c")).alias("most")).where("k > 1")
-        open_buckets = cut_lineage(classed.join(counted.select("key", "most"), "key"))
-        rest = open_buckets.where("c <> most").select("key", F.col("i").alias("x"), F.col("c").alias("cx"))
-        across = open_buckets.select("key", F.col("i").alias("y"), F.col("c").alias("cy")).join(rest, "key").where("cx <> cy")
-        left = cut_lineage(across.select(F.least("x", "y").alias("ia"), F.greatest("x", "y").alias("ib")).distinct())
+    classed = cut_lineage(buckets.join(roots.select(F.col("node").alias("i"), "root"), "i", "left").select("key", "i", F.coalesce("root", "i").alias("c")))
+    counted = classed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("c", F.struct("n", "c")).alias("most")).where("k > 1")
+    open_buckets = cut_lineage(classed.join(counted.select("key", "most"), "key"))
+    rest = open_buckets.where("c <> most").select("key", F.col("i").alias("x"), F.col("c").alias("cx"))
+    across = open_buckets.select("key", F.col("i").alias("y"), F.col("c").alias("cy")).join(rest, "key").where("cx <> cy")
+    left = cut_lineage(across.select(F.least("x", "y").alias("ia"), F.greatest("x", "y").alias("ib")).distinct())
     roots = components(links.union(_verified(left, signed, texts, threshold, width)), "ia", "ib")
     return roots.withColumnRenamed("node", "i").join(signed.select("i", "h"), "i").select("h", "root")
 
