@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.common import label, random_key, rank_thresholds
 
-#: Targets are planned on the driver; a table of more cells than this is refused instead of collected.
-MAX_CELLS = 100_000
-
 
 def allocate(shares: list[float], floors: list[int], available: list[int], total: int) -> list[int]:
     """Integer quotas by largest remainder, at least the floor and at most what is available.
@@ -50,7 +47,7 @@ def plan_sample(df: DataFrame, targets: DataFrame, fraction: float) -> DataFrame
     ``wanted`` is the larger of min_rows and share x floor(fraction x all rows); ``short`` is wanted - available where
     that is positive, else 0.  Labels are compared without white space at the ends, difficulty in lower case; rows
     with a null label belong to no cell.  An empty table gives quota 0 everywhere.  Repeated target rows are planned
-    once.  Target cells with a null label are dropped.
+    once.  Target cells with a null label are dropped.  The targets, a table of settings, are planned on the driver.
     """
     spark = df.sparkSession
     counted = (
@@ -65,11 +62,8 @@ def plan_sample(df: DataFrame, targets: DataFrame, fraction: float) -> DataFrame
         .crossJoin(F.broadcast(total))  # one row
         .select("dimension", "difficulty", F.coalesce("target_share", F.lit(0.0)).alias("share"), F.coalesce("min_rows", F.lit(0)).alias("least"), F.coalesce("_n", F.lit(0)).alias("n"), "_all")
         .orderBy("dimension", "difficulty", "share", "least")
-        .limit(MAX_CELLS + 1)
         .collect()
     )
-    if len(got) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} target cells")
     size = floor(fraction * got[0]._all) if got else 0
     quotas = allocate([r.share for r in got], [r.least for r in got], [r.n for r in got], size)
     rows = [
