@@ -256,12 +256,17 @@ def select_threshold(spark, d):
     return selection.above(_scored(spark, d)).select("file_ord", "qa_id", "total_score")
 
 
+def _slim_scored(spark, d):
+    """What the selection needs of the scored records, written once: it is read by several branches."""
+    return pipeline.materialized(_scored(spark, d).select("file_ord", "qa_id", "total_score", "dimension", "difficulty"))
+
+
 def select_balanced(spark, d):
-    return selection.balanced(_scored(spark, d), ["file_ord", "qa_id"]).select("file_ord", "qa_id", "total_score", "extra")
+    return selection.balanced(_slim_scored(spark, d), ["file_ord", "qa_id"]).select("file_ord", "qa_id", "total_score", "extra")
 
 
 def final_top200(spark, d):
-    best = selection.balanced(_scored(spark, d), ["file_ord", "qa_id"])
+    best = selection.balanced(_slim_scored(spark, d), ["file_ord", "qa_id"])
     return selection.final_list(best, ["file_ord", "qa_id"]).select("file_ord", "qa_id", "total_score")
 
 
