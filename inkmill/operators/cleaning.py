@@ -1,6 +1,6 @@
 """CL*, UR*: structure-aware cleaning of documents.
 
-Everything but sentence deduplication is row-local; that one is a window over sentences, the only shuffle.
+All of it is row-local; only the query of marked sentences (deduplicated_sentences) is a window over them.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ LINE = "struct<kind:string,line:string,out:string>"
 
 def _classified(line: Column) -> Column:
     """Kind and tagged form of one stripped line: title before figure before list item."""
-    title = reduce(lambda a, b: a | b, (found(line, p) for p in rules.TITLE_PATTERNS))
-    item = reduce(lambda a, b: a | b, (found(line, p) for p in rules.LIST_PATTERNS))
-    caption = F.coalesce(*[F.nullif(F.regexp_extract(line, "(?Ud)" + p, 1), F.lit("")) for p in rules.FIGURE_PATTERNS])
+    title, item = found(line, "|".join(rules.TITLE_PATTERNS)), found(line, "|".join(rules.LIST_PATTERNS))
+    caption = F.coalesce(*[F.when(line.contains(w), F.nullif(F.regexp_extract(line, "(?Ud)" + p, 1), F.lit(""))) for w, p in zip(rules.FIGURE_WORDS, rules.FIGURE_PATTERNS)])
 
     def row(kind: str, text: Column, before: str, after: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), text.alias("line"), F.concat(F.lit(before), text, F.lit(after)).alias("out"))
@@ -90,13 +89,27 @@ def _term_step(acc: Column, term: Column) -> Column:
     return _let(facts, apply)
 
 
+def _counted(text: Column, terminology) -> Column:
+    """CL6 alone, for texts that define nothing.  Literal patterns, compiled once a task; the lookahead only makes them fail early."""
+    counts = []
+    for standard, variants in terminology:
+        each = [F.when(text.contains(v), F.regexp_count(text, F.lit(rf"(?Ud)(?={re.escape(v)})\b{re.escape(v)}\b"))).otherwise(0) for v in variants]
+        counts.append(F.struct(F.lit(standard).alias("key"), reduce(lambda x, y: x + y, each, F.lit(0)).alias("value")))
+    return F.filter(F.array(*counts), lambda x: x["value"] > 0)
+
+
 def standardize_terminology(df: DataFrame, text_col: str, terminology=rules.TERMINOLOGY) -> DataFrame:
     """CL6-8: variants rewritten to the abbreviation that the text defines, or to its long form; map terms of counts by standard term.
 
-    One fold over the dictionary, a fixed list at plan time, so that the plan does not grow with it.
+    Texts with a definition of any term go through one fold over the dictionary, a fixed list at plan time; the others
+    are rewritten nowhere, so that their variants are only counted.
     """
-    start = F.struct(F.col(text_col).alias("text"), F.array().cast("array<struct<key:string,value:int>>").alias("counts"))
-    out = df.withColumn("_acc", F.aggregate(_plan(terminology), start, _term_step))
+    t = F.col(text_col)
+    start = F.struct(t.alias("text"), F.array().cast("array<struct<key:string,value:int>>").alias("counts"))
+    any_name = "|".join(n for s, v in terminology for n in (s, *v))
+    defines = (t.contains("(") | t.contains("（")) & found(t, rf"[(（](?:{any_name})[)）]")
+    plain = F.struct(t.alias("text"), _counted(t, terminology).alias("counts"))
+    out = df.withColumn("_acc", F.when(defines, F.aggregate(_plan(terminology), start, _term_step)).otherwise(plain))
     return out.withColumn(text_col, F.col("_acc.text")).withColumn("terms", F.map_from_entries("_acc.counts")).drop("_acc")
 
 
@@ -127,29 +140,44 @@ def deduplicated_sentences(df: DataFrame, id_col: str, text_col: str) -> DataFra
 
 
 def remove_redundant(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """CL11-13: df with repeated sentences removed and ``redundant``, their number; other columns kept, one row an id."""
-    kept = deduplicated_sentences(df, id_col, text_col)
-    ordered = F.array_sort(F.collect_list(F.when(~F.col("dup"), F.struct("sent_idx", "sentence"))))
-    paragraphs = kept.groupBy(id_col, "para_idx").agg(ordered.alias("s"), F.count_if("dup").alias("n"))
-    para = F.when(F.size("s") > 0, F.struct("para_idx", F.concat(F.array_join(F.transform("s", lambda x: x["sentence"]), "。"), F.lit("。")).alias("p")))
-    whole = paragraphs.groupBy(id_col).agg(F.array_sort(F.collect_list(para)).alias("p"), F.sum("n").alias("redundant"))
-    text = whole.select(id_col, F.array_join(F.transform("p", lambda x: x["p"]), "\n\n").alias("_text"), "redundant")
-    joined = df.join(text, id_col, "left")
-    return joined.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.coalesce("_text", F.lit("")))).withColumn("redundant", F.coalesce("redundant", F.lit(0))).drop("_text")
+    """CL11-13: df with repeated sentences removed and ``redundant``, their number; other columns kept.
+
+    Row-local: a document's sentences are compared by sorting them, so neither texts nor sentences are shuffled.
+    """
+    paragraphs = F.split(text_col, r"(?Ud)\n\s*\n", -1)
+    parts = lambda p: F.filter(F.transform(F.split(p, r"[。！？\.!?]", -1), strip), lambda s: s != "")
+    sentences = F.flatten(F.transform(paragraphs, lambda p, i: F.transform(parts(p), lambda s: F.struct(i.alias("para"), s.alias("s")))))
+    out = df.withColumn("_said", sentences)
+    out = out.withColumn("_keys", F.transform("_said", lambda x: F.lower(x["s"])))
+
+    def first(ranked: Column) -> Column:
+        again = lambda x, i: (i > 0) & F.coalesce(F.get(ranked, i - 1)["k"] == x["k"], F.lit(False)) & (F.length(F.get("_said", x["i"])["s"]) > 10)
+        return F.sort_array(F.transform(ranked, lambda x, i: F.struct(x["i"].alias("i"), again(x, i).alias("dup"))))
+
+    flags = _let(F.sort_array(F.transform("_keys", lambda k, i: F.struct(k.alias("k"), i.alias("i")))), first)
+    kept = _let(flags, lambda f: F.filter("_said", lambda x, i: ~F.get(f, i)["dup"]))
+    out = out.withColumn("_kept", F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), kept).otherwise(F.col("_said")))
+    gap = lambda x, i: F.when((i > 0) & (F.get("_kept", i - 1)["para"] != x["para"]), F.lit("\n\n")).otherwise(F.lit(""))
+    text = F.array_join(F.transform("_kept", lambda x, i: F.concat(gap(x, i), x["s"], F.lit("。"))), "")
+    count = F.when(F.col(text_col).isNotNull(), F.size("_said") - F.size("_kept")).otherwise(0).cast("long")
+    return out.withColumns({"redundant": count, text_col: F.when(F.col(text_col).isNotNull(), text)}).drop("_said", "_keys", "_kept")
 
 
 def associate_figures(text: Column) -> Column:
     """CL14: the text after a figure tag up to the next tag is marked as its description."""
-    return F.regexp_replace(text, r"(?Ud)<图表>([^\n]*?)</图表>\s*([^<\s][^<]*?)\s*(?=<|\z)", "<图表>$1</图表>\n<图表说明>$2</图表说明>")
+    return F.when(~text.contains("<图表>"), text).otherwise(F.regexp_replace(text, r"(?Ud)<图表>([^\n]*?)</图表>\s*([^<\s][^<]*?)\s*(?=<|\z)", "<图表>$1</图表>\n<图表说明>$2</图表说明>"))
 
 
 def list_regions(text: Column) -> Column:
     """CL15: two or more list items in a row become a region; possessive, so that long lists don't exhaust the stack."""
-    return F.regexp_replace(text, r"(?Ud)((?:<列表项>[^\n<]*+</列表项>\s*+){2,}+)", "\n<列表区域>\n$1\n</列表区域>\n")
+    return F.when(~text.contains("<列表项>"), text).otherwise(F.regexp_replace(text, r"(?Ud)((?:<列表项>[^\n<]*+</列表项>\s*+){2,}+)", "\n<列表区域>\n$1\n</列表区域>\n"))
 
 
 def tag_definitions(text: Column, terms: Column, terminology=rules.TERMINOLOGY) -> Column:
-    """CL16: definition sentences that name a counted term are wrapped in a tag with the first such term."""
+    """CL16: definition sentences that name a counted term are wrapped in a tag with the first such term.
+
+    A definition lies within a run without full stops and line ends, so that only runs with a definition word are searched.
+    """
     pattern = rf"(?Ud)([^。\n]{{0,50}}({'|'.join(rules.DEFINITION_WORDS)})[^。\n]{{10,200}})"
     named = [(s, F.map_contains_key(terms, F.lit(s)), (s, *v)) for s, v in terminology]
 
@@ -157,7 +185,9 @@ def tag_definitions(text: Column, terms: Column, terminology=rules.TERMINOLOGY)
         term = F.coalesce(*[F.when(there & contains_any(d, names), F.lit(s)) for s, there, names in named])
         return F.when(term.isNotNull(), F.replace(acc, d, F.concat(F.lit('<技术定义 term="'), term, F.lit('">'), d, F.lit("</技术定义>")))).otherwise(acc)
 
-    return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), text, tag)
+    runs = F.filter(F.split(text, "[。\n]", -1), lambda r: contains_any(r, rules.DEFINITION_WORDS))
+    definitions = F.flatten(F.transform(runs, lambda r: F.regexp_extract_all(r, F.lit(pattern), F.lit(1))))
+    return F.when((F.size(terms) > 0) & contains_any(text, rules.DEFINITION_WORDS), F.aggregate(definitions, text, tag)).otherwise(text)
 
 
 def clean_documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

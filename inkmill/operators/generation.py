@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import rules, topics
-from inkmill.functions.text import clean_for_generation, contains_any, sentences
+from inkmill.functions.text import clean_for_generation, contains_any, let, sentences
 
 BUDGET = 350
 
@@ -25,7 +25,7 @@ def _toks(chars: Column) -> Column:
     return F.floor(chars / 3)
 
 
-def quality_answer(text: Column, budget: int = BUDGET) -> Column:
+def quality_answer(text: Column, budget: int = BUDGET, cleaned: Column | None = None) -> Column:
     """AN1-6: the cleaned text if it fits; else a definition sentence, sentences with key words up to 0.7 of the budget,
     then sentences in order until one does not fit; less than 50 characters fall back to the first three sentences."""
 
@@ -52,7 +52,7 @@ def quality_answer(text: Column, budget: int = BUDGET) -> Column:
     def whole(c: Column) -> Column:
         return F.when(_toks(F.length(c)) <= budget, c).otherwise(clean_for_generation(F.get(F.transform(F.array(sentences(c)), build), 0)))
 
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(rules.APOLOGY)).otherwise(F.get(F.transform(F.array(clean_for_generation(text)), whole), 0))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(rules.APOLOGY)).otherwise(let(clean_for_generation(text), whole) if cleaned is None else whole(cleaned))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -62,8 +62,13 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def with_topic_and_answer(segs: DataFrame, content: str) -> DataFrame:
-    """Topic and answer, once a segment."""
-    return segs.withColumn("topic", topics.related(topics.extract(F.col(content)), F.col(content))).withColumn("assistant", quality_answer(F.col(content)))
+    """Topic and answer, once a segment; what several expressions name is a column of its own, which plans faster than nested lambdas."""
+    c = F.col(content)
+    out = segs.withColumn("_cleaned", clean_for_generation(c))
+    out = out.withColumns({"topic": topics.extract(c, F.col("_cleaned")), "assistant": quality_answer(c, cleaned=F.col("_cleaned"))}).drop("_cleaned")
+    for step in (topics.strong, topics.supported):
+        out = out.withColumn("topic", step(F.col("topic"), c))
+    return out
 
 
 def expand_questions(segs: DataFrame, content: str = "content") -> DataFrame:
@@ -79,22 +84,39 @@ def _draw(seed: int, *cols: str | Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]))
 
 
-def sample_questions(segs: DataFrame, id_cols: list[str], content: str = "content", seed: int = 11, dims: int = 3) -> DataFrame:
-    """QG2, 5, 6: of each segment three dimensions, of each one or two questions, by a digest in place of random numbers.
-
-    Templates are ranked before the join in a digest of segment and template only, so the windows are over keys, not
-    texts; a question drawn in two dimensions stays in the one that comes first.
-    """
-    spark = segs.sparkSession
-    keys = segs.select(*id_cols).distinct().crossJoin(F.broadcast(templates(spark)))
+def drawn_templates(id_cols: list[str], seed: int = 11, dims: int = 3) -> Column:
+    """QG2, 5, 6: array of (template, dim_no, difficulty, tmpl_no, dimension) drawn for a segment: three dimensions, of
+    each one or two templates, by a digest in place of random numbers; one drawn in two dimensions stays in the first."""
+    order = {d: i for i, d in enumerate(rules.DIMENSIONS)}
+    of = F.array(*[F.array(*[F.struct(F.lit(f).alias("difficulty"), F.lit(k).alias("tmpl_no"), F.lit(t).alias("template")) for f in fs for k, t in enumerate(rules.TEMPLATES[f])]) for fs in rules.DIMENSIONS.values()])
     h = lambda *c: _draw(seed, *id_cols, *c)
-    keys = keys.withColumn("_d", F.dense_rank().over(Window.partitionBy(*id_cols).orderBy(h("dimension"), "dimension"))).where(F.col("_d") <= dims)
-    keys = keys.withColumn("_t", F.row_number().over(Window.partitionBy(*id_cols, "dimension").orderBy(h("dimension", "template"), "difficulty", "tmpl_no")))
-    keys = keys.where(F.col("_t") <= F.when(F.substring(h("dim_no"), 1, 1) < "8", 1).otherwise(2))
-    keys = keys.withColumn("_o", F.row_number().over(Window.partitionBy(*id_cols, "template").orderBy("dim_no", "difficulty"))).where("_o = 1")
+    by_draw = F.sort_array(F.array(*[F.struct(h(F.lit(d)).alias("h"), F.lit(d).alias("dimension"), F.lit(i).alias("dim_no")) for d, i in order.items()]))
+
+    def of_dimension(d: Column) -> Column:
+        ranked = F.sort_array(F.transform(F.get(of, d["dim_no"]), lambda t: F.struct(h(d["dimension"], t["template"]).alias("h"), t["difficulty"].alias("difficulty"), t["tmpl_no"].alias("tmpl_no"), t["template"].alias("template"))))
+        n = F.when(F.substring(h(d["dim_no"]), 1, 1) < "8", 1).otherwise(2)
+        return F.transform(F.slice(ranked, 1, n), lambda t: F.struct(t["template"].alias("template"), d["dim_no"].alias("dim_no"), t["difficulty"].alias("difficulty"), t["tmpl_no"].alias("tmpl_no"), d["dimension"].alias("dimension")))
+
+    drawn = F.sort_array(F.flatten(F.transform(F.slice(by_draw, 1, dims), of_dimension)))
+    return let(drawn, lambda q: F.filter(q, lambda x, i: (i == 0) | (F.get(q, i - 1)["template"] != x["template"])))
+
+
+def ask(segs: DataFrame, drawn: str = "_drawn") -> DataFrame:
+    """A row a drawn template, which the topic completes to the question."""
+    out = segs.select("*", F.inline(drawn)).drop(drawn)
     q = F.replace(F.col("template"), F.lit("{topic}"), F.col("topic"))
-    out = with_topic_and_answer(segs, content).join(keys, id_cols).withColumn("user", F.when(q.endswith("？"), q).otherwise(F.concat(q, F.lit("？"))))
-    return out.withColumn("system", F.lit(rules.SYSTEM_PROMPT)).drop("_d", "_t", "_o")
+    return out.withColumn("user", F.when(q.endswith("？"), q).otherwise(F.concat(q, F.lit("？")))).withColumn("system", F.lit(rules.SYSTEM_PROMPT))
+
+
+def with_drawn(segs: DataFrame, id_cols: list[str], content: str = "content", seed: int = 11, dims: int = 3) -> DataFrame:
+    """Topic, answer and ``_drawn``, the drawn templates, of each segment; segments without an id have none.  Row-local."""
+    there = segs.dropna(subset=id_cols)
+    return with_topic_and_answer(there, content).withColumn("_drawn", drawn_templates(id_cols, seed, dims))
+
+
+def sample_questions(segs: DataFrame, id_cols: list[str], content: str = "content", seed: int = 11, dims: int = 3) -> DataFrame:
+    """QG2, 5, 6: the drawn questions of each segment."""
+    return ask(with_drawn(segs, id_cols, content, seed, dims))
 
 
 def main_topics(qa: DataFrame, segment: str) -> DataFrame:

@@ -75,6 +75,13 @@ def test_clean_documents(spark):
     assert "<" not in got[1].text and got[2].text is None and got[3].text == ""
 
 
+def test_cleaning_shuffles_no_texts(spark):
+    t = "重复的一句话在这里出现。另一句。重复的一句话在这里出现！\n\n短。短。重复的一句话在这里出现"
+    out = cleaning.clean_documents(spark.createDataFrame([(1, t), (1, "同号的另一篇文档。")], "id int, text string"), "id", "text")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.text.strip(), r.redundant) for r in out.orderBy("text").collect()] == [("同号的另一篇文档。", 0), ("重复的一句话在这里出现。 另一句。 短。 短。", 2)]
+
+
 def test_split_text():
     assert segmenting.split_text("短") == ["短"]
     assert segmenting.split_text("") == []
